@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: Where tables go when the session names no spark.checkpoint.dir (tests on one machine).
 LOCAL_SHARED = "file:///tmp/checkpoints/tallyfield"
 #: Rows up to which a table of ids (8 to 40 bytes a row) may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 500_000
 
 #: Byte classes: 0 white space (x09-x0D, x20), 1 letters, digits and every byte over x7F, 2 the rest.
 _CLASSES = np.full(256, 2, np.uint8)

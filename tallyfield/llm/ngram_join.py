@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, gram_hashes, materialise, mix64, slices, text_buffer, token_hashes
+from .common import components, gram_hashes, materialise, mix64, slices, small_or_shuffled, text_buffer, token_hashes
 
 WORDS, THRESHOLD = 5, 0.8
 ROWS, BANDS, TOLERANCE, STEP = 4, 25, 1e-6, 10
@@ -228,7 +228,7 @@ def join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, tole
     nodes = materialise(rows.groupBy("node").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th")).alias("rep"), F.min("sig").alias("sig")))
     bands = _bands(nodes)
     buckets = materialise(bands.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low")).where("n > 1"))
-    held = materialise(bands.join(buckets, "key"))
+    held = materialise(bands.join(small_or_shuffled(buckets), "key"))
     pair = "flatten(transform(sequence(0, size(a) - 2), i -> transform(slice(a, i + 2, size(a)), y -> struct(a[i] as u, y as v))))"
     few = held.where(F.col("n") <= pair_bucket).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("a"))  # lists of at most pair_bucket
     pairs = few.select(F.explode(F.expr(pair)).alias("p")).select("p.*").distinct()
@@ -242,7 +242,7 @@ def join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, tole
     placed = placed.join(nodes.select("node", "copies", "rep", "sig"), "node").select("*", F.col("rep.doc_id").alias("r_id"), F.col("rep.th").alias("r_th")).drop("rep")
     # a text is fetched once a node (copies of a row have the same hash) before the blocks multiply it
     wanted = materialise(placed)
-    asked = wanted.select("r_id", "r_th").distinct()
+    asked = small_or_shuffled(materialise(wanted.select("r_id", "r_th").distinct()))
     texts = docs.select(F.col("doc_id").cast("long").alias("r_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("r_th", F.xxhash64("text"))
     texts = texts.join(asked.select(F.col("r_id").alias("q_id"), F.col("r_th").alias("q_th")), F.col("r_id").eqNullSafe(F.col("q_id")) & (F.col("r_th") == F.col("q_th"))).dropDuplicates(["q_id", "q_th"]).select("q_id", "q_th", "text")
     full = wanted.join(texts, F.col("r_id").eqNullSafe(F.col("q_id")) & (F.col("r_th") == F.col("q_th"))).select("task", "component", "blocks", "b", "bi", "bj", "node", "copies", "sig", "text")
