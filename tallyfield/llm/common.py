@@ -145,7 +145,7 @@ def gram_hashes(h: np.ndarray, tokens: np.ndarray, n: int) -> tuple[np.ndarray,
     return mix64(g), out_at
 
 
-def slices(texts: pa.Array, most_bytes: int = 8 << 20):
+def slices(texts: pa.Array, most_bytes: int = 4 << 20):
     """(start, stop) row ranges of about most_bytes of text, one row at least."""
     sizes = np.asarray(pa.compute.binary_length(texts.cast(pa.large_string())).fill_null(0))
     total = np.cumsum(sizes)

@@ -177,8 +177,8 @@ def indexes(items: DataFrame, shard: int = SHARD):
 
 
 def scan(docs: DataFrame, items: DataFrame, least: float = SCORE, overlap: float = OVERLAP, shard: int = SHARD) -> DataFrame:
-    """docs with a column `hits`: the verified items of each text."""
-    df = docs.select(*[c for c in docs.columns if c != "hits"], F.expr(f"cast(array() as {HITS})").alias("hits"))
+    """docs with a column `__hits`: the verified items of each text."""
+    df = docs.select("*", F.expr(f"cast(array() as {HITS})").alias("__hits"))
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())]))
 
     for index in indexes(items, shard):
@@ -200,9 +200,9 @@ def scan(docs: DataFrame, items: DataFrame, least: float = SCORE, overlap: float
 def contaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap of every verified pair."""
     found = scan(docs.select("doc_id", "text"), items, **how)
-    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+    return found.select("doc_id", F.explode("__hits").alias("hit")).select("doc_id", "hit.*")
 
 
 def clean(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """docs without the texts that hold a test item."""
-    return scan(docs, items, **how).where(F.size("hits") == 0).select(*docs.columns)
+    return scan(docs, items, **how).where(F.size("__hits") == 0).select(*docs.columns)

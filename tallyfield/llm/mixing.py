@@ -5,7 +5,8 @@ source's repetition rate is target / size, and each document is emitted floor(ra
 probability equal to the fraction; the draw is a hash of seed, doc_id and text, so reruns agree.
 
 Defined cases: null texts have size 0; null is a source of its own, last in order; a source without words has
-target 0 and rate 0; repeated rows draw alike; an empty table gives no rows.
+target 0 and rate 0; repeated rows draw alike; an empty table gives no rows; columns of docs that are named size,
+source_size, target or copies are replaced by the plan's.
 """
 
 from __future__ import annotations

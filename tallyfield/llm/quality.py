@@ -23,6 +23,8 @@ from .common import gram_hashes, slices, text_buffer, token_hashes
 
 BITS = 18
 MAX_ROWS = 12_000
+#: Bytes of text whose features are made at once.
+SLICE = 2 << 20
 #: The hash of a token followed by itself, whichever it is.
 REPEAT = np.uint64(0x51_7C_C1_B7_27_22_0A_95)
 
@@ -73,7 +75,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", train_if=N
 
     def to_rows(batches):
         for batch in batches:
-            for lo, hi in slices(batch.column("text")):
+            for lo, hi in slices(batch.column("text"), SLICE):
                 part = batch.slice(lo, hi - lo)
                 at, col, value = features(part.column("text"), bits)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), pa.array([col[a:b].astype("<i4").tobytes() for a, b in zip(at, at[1:])], pa.binary()), pa.array([value[a:b].astype("<f4").tobytes() for a, b in zip(at, at[1:])], pa.binary())], ["doc_id", "y", "cols", "vals"])
@@ -100,7 +102,7 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, keep: tuple[st
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             scores = np.empty(len(texts))
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, SLICE):
                 at, col, value = features(texts.slice(lo, hi - lo), bits)
                 row = np.repeat(np.arange(hi - lo), np.diff(at))
                 scores[lo:hi] = np.bincount(row, w[col] * value, hi - lo) + w[-1]
