@@ -15,6 +15,11 @@ CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œž
 CP1252_AT = "".join(map(chr, (0x80, 0x82, 0x83, 0x84, 0x85, 0x86, 0x87, 0x88, 0x89, 0x8A, 0x8B, 0x8C, 0x8E, 0x91, 0x92, 0x93, 0x94, 0x95, 0x96, 0x97, 0x98, 0x99, 0x9A, 0x9B, 0x9C, 0x9E, 0x9F)))
 
 
+def bound(value: Column, f) -> Column:
+    """f(value) with value computed once a row, however often f names it (also inside other lambdas)."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def squish(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 
@@ -134,17 +139,18 @@ STOP_WORDS = {
 
 def detect_language(c: Column, least: int = 3) -> Column:
     """A code by script, else by most function words (ties to the first listed); null under 20 characters or `least` words."""
-    words = F.split(F.lower(c), r"[^\p{L}]+")
 
-    def hits(listed: list[str]) -> Column:
-        return F.size(F.filter(words, lambda w: w.isin(*listed)))
+    def scores(words: Column) -> Column:
+        def hits(listed: list[str]) -> Column:
+            return F.size(F.filter(words, lambda w: w.isin(*listed)))
+
+        return F.array_max(F.array(*[F.struct(hits(s.split("|")).alias("n"), F.lit(-k).alias("k"), F.lit(lang).alias("lang")) for k, (lang, s) in enumerate(STOP_WORDS.items())]))
 
-    scores = [F.struct(hits(s.split("|")).alias("n"), F.lit(-k).alias("k"), F.lit(lang).alias("lang")) for k, (lang, s) in enumerate(STOP_WORDS.items())]
-    best = F.array_max(F.array(*scores))
+    named = bound(bound(F.split(F.lower(c), r"[^\p{L}]+"), scores), lambda best: F.when(best["n"] >= least, best["lang"]))
     out = F.when(F.length(c) < 20, F.lit(None).cast("string"))
     for lang, pattern in SCRIPTS:
         out = out.when(c.rlike(pattern), F.lit(lang))
-    return out.when(best["n"] >= least, best["lang"])
+    return out.otherwise(named)
 
 
 def windows_with(text: Column, pattern: str, size: int = 1500, budget: int = 12000) -> Column:

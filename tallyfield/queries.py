@@ -46,7 +46,8 @@ RAW = "n_core + n_framework * 10 + CASE WHEN n_inclusion > 0 THEN 15 ELSE 0 END
 
 
 def scored(docs: DataFrame) -> DataFrame:
-    s = docs.withColumns({f"n_{k}": C.count_terms(F.col("text"), p) for k, p in TERMS.items()})
+    s = docs.withColumn("clean", T.strip_web_noise(F.lower("text")))
+    s = s.withColumns({f"n_{k}": F.regexp_count("clean", F.lit(p)) for k, p in TERMS.items()})
     excluded = F.col("n_generic") > 20
     title = F.lower(F.substring("text", 1, 200)).rlike("tion")
     score = P.relevance(F.col("n_core"), F.col("n_framework"), F.col("n_generic"), F.col("n_inclusion") > 0, F.lit(False), title, excluded)
@@ -67,8 +68,8 @@ def relevance_rollup(spark, d):
 
 @query(f"WITH {SIGNALS} SELECT doc_id, n_core, n_framework, n_generic, n_inclusion FROM sig")
 def term_counts(spark, d):
-    docs = t(spark, d, "documents")
-    return docs.select("doc_id", *[C.count_terms(F.col("text"), p).alias(f"n_{k}") for k, p in TERMS.items()])
+    docs = t(spark, d, "documents").select("doc_id", T.strip_web_noise(F.lower("text")).alias("clean"))
+    return docs.select("doc_id", *[F.regexp_count("clean", F.lit(p)).alias(f"n_{k}") for k, p in TERMS.items()])
 
 
 @query(f"WITH {SIGNALS}, r AS (SELECT *, {RAW} AS raw FROM sig) SELECT doc_id, {SCORE} AS score, {CATEGORY} AS category FROM r")
@@ -146,8 +147,7 @@ def excerpts(spark, d):
 def quotes_in_documents(spark, d):
     """Whether an item's own words stand in a text: its first five words find the pairs, the whole item decides."""
     items = t(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), F.array_join(F.slice(F.split("text", r"[ \n]"), 2, 4), " ").alias("k"))
-    words = F.split("text", r"[ \n]")
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 3, F.lit(1))), lambda i: F.array_join(F.slice(words, i, 4), " ")))
+    grams = T.bound(F.split("text", r"[ \n]"), lambda words: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 3, F.lit(1))), lambda i: F.concat_ws(" ", *[F.get(words, i - 1 + k) for k in range(4)]))))
     docs = t(spark, d, "documents").select("doc_id", "text")
     pairs = docs.select("doc_id", F.explode(grams).alias("k")).join(items.select("item_id", "k"), "k").select("doc_id", "item_id").distinct()
     return pairs.join(docs, "doc_id").join(items, "item_id").where(F.contains("text", F.col("item"))).select("doc_id", "item_id")
