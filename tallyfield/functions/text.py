@@ -255,8 +255,9 @@ def search_phrase(title: Column, place: Column, generic: Sequence[str] = (), wor
     return F.concat_ws(" ", F.array_join(F.slice(content_tokens(title, generic), 1, words), " "), place)
 
 
-def html_to_text(html: Column, most: int = 3_000_000) -> Column:
-    x = F.substring(html, 1, most)
+def html_to_text(html: Column, most: int | None = None) -> Column:
+    """Text without tags, scripts and page furniture; `most` bounds the characters read (none: the whole page)."""
+    x = html if most is None else F.substring(html, 1, most)
     x = F.regexp_replace(x, r"(?is)<(script|style|nav|footer|noscript)\b.*?</\1>", " ")
     x = F.regexp_replace(F.regexp_replace(x, r"(?s)<!--.*?-->", " "), r"(?s)<[^>]*>", " ")
     for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):

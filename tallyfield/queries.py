@@ -269,23 +269,32 @@ def own_site_pages(spark, d):
 TOKENS = "list_distinct(string_split(lower(p_name), ' '))"
 
 
-@query(f"WITH l AS (SELECT p_partkey, p_brand, {TOKENS} AS w FROM part WHERE p_partkey % 2 = 0), r AS (SELECT p_partkey AS m, p_brand, {TOKENS} AS v FROM part WHERE p_partkey % 2 = 1), s AS (SELECT l.p_partkey, m, len(list_intersect(w, v)) AS n, len(w) AS a, len(v) AS b FROM l JOIN r USING (p_brand)), b AS (SELECT *, n / (a + b - n)::DOUBLE AS score, row_number() OVER (PARTITION BY p_partkey ORDER BY n / (a + b - n)::DOUBLE DESC, m) AS k FROM s WHERE n > 0 AND n / (a + b - n)::DOUBLE >= 0.2) SELECT l.p_partkey, m AS match_id, round(score, 6) AS match_score, CASE WHEN score >= 0.6 THEN 'high' WHEN score >= 0.4 THEN 'medium' WHEN score IS NOT NULL THEN 'low' ELSE 'none' END AS confidence FROM l LEFT JOIN b ON l.p_partkey = b.p_partkey AND k = 1")
+@query(f"WITH l AS (SELECT p_partkey, p_brand, {TOKENS} AS w FROM part), s AS (SELECT l.p_partkey, r.p_partkey AS m, len(list_intersect(l.w, r.w)) AS n, len(l.w) AS a, len(r.w) AS b FROM l JOIN l AS r ON l.p_brand = r.p_brand AND l.p_partkey <> r.p_partkey), b AS (SELECT *, n / (a + b - n)::DOUBLE AS score, row_number() OVER (PARTITION BY p_partkey ORDER BY n / (a + b - n)::DOUBLE DESC, m) AS k FROM s WHERE n > 0 AND n / (a + b - n)::DOUBLE >= 0.2) SELECT l.p_partkey, m AS match_id, round(score, 6) AS match_score, CASE WHEN score >= 0.6 THEN 'high' WHEN score >= 0.4 THEN 'medium' WHEN score IS NOT NULL THEN 'low' ELSE 'none' END AS confidence FROM l LEFT JOIN b ON l.p_partkey = b.p_partkey AND k = 1")
 def part_name_matches(spark, d):
-    p = t(spark, d, "part").withColumn("w", F.array_distinct(F.split(F.lower("p_name"), " ")))
-    out = J.best_token_match(p.where("p_partkey % 2 = 0"), p.where("p_partkey % 2 = 1"), "p_brand", "p_partkey", "p_partkey", "w")
+    """Every part against all others of its brand."""
+    p = t(spark, d, "part").withColumn("w", F.split(F.lower("p_name"), " "))
+    out = J.best_token_match(p, p, "p_brand", "p_partkey", "p_partkey", "w", same=True)
     return out.select("p_partkey", "match_id", F.round("match_score", 6).alias("match_score"), "confidence")
 
 
-@query(None)
+@query("""WITH p AS (SELECT p_partkey AS id, p_brand, p_size, p_type, p_size + 1990 AS y, list_distinct(string_split(p_name, ' ')) AS w FROM part),
+x AS (SELECT c.id AS c_id, e.id AS e_id, c.p_size = e.p_size AS org_ok, (c.p_type = e.p_type)::INT AS acr, len(list_intersect(c.w, e.w)) AS ov, len(c.w) + len(e.w) AS nn, c.y AS cy, e.y AS ey FROM p c JOIN p e ON c.p_brand = e.p_brand AND c.id <> e.id),
+z AS (SELECT *, ov / (nn - ov)::DOUBLE AS jac FROM x), g AS (SELECT *, acr > 0 OR ov >= 3 OR (jac >= 0.5 AND ov >= 2) AS strong FROM z),
+k AS (SELECT *, CASE WHEN org_ok AND strong AND abs(cy - ey) <= 1 THEN 1 WHEN org_ok AND strong AND cy > ey + 1 THEN 2 WHEN NOT org_ok AND strong THEN 3 WHEN org_ok AND NOT strong AND ov = 1 AND jac >= 0.5 THEN 3 WHEN org_ok THEN 4 ELSE 5 END AS cat FROM g),
+r AS (SELECT *, cat * 10 - jac * 5 - acr * 3 AS score FROM k), b AS (SELECT *, row_number() OVER (PARTITION BY c_id ORDER BY score, e_id) AS n FROM r)
+SELECT p.id AS c_id, min(e_id) FILTER (n = 1) AS e_id, coalesce(CASE min(cat) FILTER (n = 1) WHEN 1 THEN 'same product' WHEN 2 THEN 'new edition' WHEN 3 THEN 'check - likely same' WHEN 4 THEN 'same org, other product' WHEN 5 THEN 'other producer' END, 'no reference in block') AS category, round(min(score), 6) AS score, string_agg(e_id::VARCHAR, ',' ORDER BY n) FILTER (n <= 3) AS top_ids FROM p LEFT JOIN b ON b.c_id = p.id GROUP BY p.id""")
 def product_matches(spark, d):
+    """Every part against all others of its brand; sizes stand for offices, types for product codes."""
     p = t(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("block"), F.array("p_size").alias("org"), F.split("p_name", " ").alias("tokens"), F.array("p_type").alias("codes"), C.product_type(F.col("p_name")).alias("type"), (F.col("p_size") + 1990).alias("y0"), (F.col("p_size") + 1990).alias("y1"))
-    return J.pair_check(p.where("id % 2 = 0"), p.where("id % 2 = 1"))
+    out = J.pair_check(p, p, same=True)
+    return out.select("c_id", "e_id", "category", F.round("score", 6).alias("score"), "top_ids")
 
 
-@query("WITH x AS (SELECT o_orderkey, l_partkey, year(o_orderdate) AS y, o_custkey % 10 AS blk FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 2 = 0), z AS (SELECT o_orderkey, l_partkey, year(o_orderdate) AS y, o_custkey % 10 AS blk FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 2 = 1), p AS (SELECT x.o_orderkey AS l_id, z.o_orderkey AS r_id, count(DISTINCT x.l_partkey) AS shared, min(abs(x.y - z.y)) AS gap FROM x JOIN z USING (blk, l_partkey) GROUP BY ALL) SELECT l_id, r_id, shared, gap::INT AS gap, CASE WHEN gap <= 2 THEN 'same period' ELSE 'other period' END AS verdict FROM (SELECT *, row_number() OVER (PARTITION BY l_id ORDER BY shared DESC, gap, r_id) AS k FROM p) WHERE k = 1")
+@query("WITH x AS (SELECT o_orderkey, l_partkey, year(o_orderdate) AS y, o_custkey % 10 AS blk FROM orders JOIN lineitem ON l_orderkey = o_orderkey), p AS (SELECT x.o_orderkey AS l_id, z.o_orderkey AS r_id, count(DISTINCT x.l_partkey) AS shared, min(abs(x.y - z.y)) AS gap FROM x JOIN x AS z ON x.blk = z.blk AND x.l_partkey = z.l_partkey AND x.o_orderkey <> z.o_orderkey GROUP BY ALL) SELECT l_id, r_id, shared, gap::INT AS gap, CASE WHEN gap <= 2 THEN 'same period' ELSE 'other period' END AS verdict FROM (SELECT *, row_number() OVER (PARTITION BY l_id ORDER BY shared DESC, gap, r_id) AS k FROM p) WHERE k = 1")
 def shared_parts(spark, d):
+    """Every order against all others of its block of customers."""
     o = t(spark, d, "orders").join(t(spark, d, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_orderkey").agg(F.collect_set("l_partkey").alias("codes"), F.first(F.year("o_orderdate")).alias("y"), F.first(F.col("o_custkey") % 10).alias("blk"))
-    return J.programme_overlap(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 2 = 1"), "blk", "o_orderkey", "o_orderkey", "codes", "y")
+    return J.programme_overlap(o, o, "blk", "o_orderkey", "o_orderkey", "codes", "y", same=True)
 
 
 @query("WITH s AS (SELECT vec_id AS seed_id, embedding AS v FROM embeddings WHERE vec_id < 20), p AS (SELECT vec_id, seed_id, list_cosine_similarity(embedding::DOUBLE[], v::DOUBLE[]) AS sim FROM embeddings, s), b AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(sim, 12) DESC, seed_id) AS k FROM p) SELECT vec_id, seed_id, round(sim, 6) AS similarity FROM b WHERE k = 1")
