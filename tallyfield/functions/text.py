@@ -240,7 +240,7 @@ def subject_entity(c: Column) -> Column:
 
 
 def split_multi(c: Column) -> Column:
-    return F.filter(F.transform(F.split(c, r"[/;|+&\n]"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, r"[/;|+&\n]"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def record_text(*parts: Column, most: int = 4000) -> Column:

@@ -37,3 +37,11 @@ def rank_of(column: Column | str, levels: Sequence[str]) -> Column:
     c = F.col(column) if isinstance(column, str) else column
     at = F.array_position(F.array(*[F.lit(x) for x in levels]), c)
     return F.when(at > 0, at).otherwise(F.lit(len(levels) + 1)).cast("int")
+
+
+def weighted(points: Sequence[tuple[int, Column | str]]) -> Column:
+    """The sum of the points whose conditions hold."""
+    out = F.lit(0)
+    for n, condition in points:
+        out = out + F.when(_holds(condition), n).otherwise(0)
+    return out

@@ -105,3 +105,27 @@ def crawl_stats(urls: DataFrame, by: str = "domain") -> DataFrame:
     """Counts by source and a coverage class per domain; urls has domain and source (sitemap or archive)."""
     out = urls.groupBy(by).agg(F.count_if(F.col("source") == "sitemap").alias("sitemap_urls"), F.count_if(F.col("source") == "archive").alias("archive_urls"), F.count("*").alias("total"))
     return out.withColumn("coverage", F.when((F.col("sitemap_urls") > 0) & (F.col("archive_urls") > 0), "full").when(F.col("sitemap_urls") > 0, "sitemap only").when(F.col("archive_urls") > 0, "archive only").otherwise("NONE"))
+
+
+def read_jsonstat_dims(raw: DataFrame, column: str = "payload", aggregates: tuple[str, ...] = ("EU", "EA")) -> DataFrame:
+    """geo and label of every area of JSON-stat answers with two-letter codes, aggregates left out, and the answer's last period."""
+    schema = "dimension struct<geo:struct<category:struct<label:map<string,string>>>,time:struct<category:struct<label:map<string,string>>>>"
+    d = raw.select(F.from_json(column, schema)["dimension"].alias("d"))
+    rows = d.select(F.explode(F.map_entries("d.geo.category.label")).alias("g"), F.array_max(F.map_keys("d.time.category.label")).alias("period"))
+    return rows.select(F.col("g.key").alias("geo"), F.col("g.value").alias("label"), "period").where(F.col("geo").rlike("^[A-Z]{2}$") & ~F.col("geo").isin(*aggregates))
+
+
+def extract_html_tables(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = (), least_rows: int = 2, least_cells: int = 2) -> DataFrame:
+    """table_no, row_no (both from 0) and cells of tables with enough rows whose widest row has enough cells."""
+    tables = pages.select(*keep, F.posexplode(F.regexp_extract_all(html, F.lit(r"(?is)<table\b[^>]*>(.*?)</table>"), 1)).alias("table_no", "__t"))
+    tables = tables.withColumn("__rows", F.transform(F.regexp_extract_all("__t", F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1), lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), 1), lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", " "), r"\s+", " ")))))
+    wide = F.coalesce(F.array_max(F.transform("__rows", lambda r: F.size(r))), F.lit(0))
+    return tables.where((F.size("__rows") >= least_rows) & (wide >= least_cells)).select(*keep, "table_no", F.posexplode("__rows").alias("row_no", "cells"))
+
+
+def read_nested_reports(raw: DataFrame, column: str = "payload") -> DataFrame:
+    """title, url, date and the joined names of sources and countries of report search answers."""
+    schema = "data array<struct<fields:struct<title:string,url:string,date:struct<created:string>,source:array<struct<name:string>>,country:array<struct<name:string>>>>>"
+    f = raw.select(F.explode(F.from_json(column, schema)["data"]).alias("r")).select("r.fields.*")
+    names = lambda c: F.array_join(F.transform(F.coalesce(c, F.array()), lambda s: s["name"]), "; ")
+    return f.select("title", "url", F.substring("date.created", 1, 10).try_cast("date").alias("created"), names(F.col("source")).alias("sources"), names(F.col("country")).alias("countries"))
