@@ -14,6 +14,8 @@ several labels of a doc_id the largest holds; with no labelled row at all every
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -81,10 +83,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", train_if=N
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), pa.array([col[a:b].astype("<i4").tobytes() for a, b in zip(at, at[1:])], pa.binary()), pa.array([value[a:b].astype("<f4").tobytes() for a, b in zip(at, at[1:])], pa.binary())], ["doc_id", "y", "cols", "vals"])
 
     def fit(table: pa.Table) -> pa.Table:
-        items = sorted(zip(table["doc_id"].to_pylist(), table["cols"].to_pylist(), table["vals"].to_pylist(), table["y"].to_pylist()))
-        # one row a document even if documents repeat ids, in an order that does not depend on the ids' own
-        order = np.random.default_rng(7).permutation(len(items))
-        data = [(np.frombuffer(items[k][1], "<i4"), np.frombuffer(items[k][2], "<f4").astype(float), items[k][3]) for k in order]
+        view = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table[name]]  # noqa: E731  (views, no copies)
+        ids, ys, cols, vals = table["doc_id"].to_numpy(), table["y"].to_numpy(), view("cols", "<i4"), view("vals", "<f4")
+        # an order that does not depend on the ids' own; documents that repeat an id are told apart by their features
+        content = np.array([zlib.crc32(v, zlib.crc32(c)) for c, v in zip(cols, vals)], np.int64)
+        by_id = np.lexsort((content, ids))
+        data = [(cols[k], vals[k], ys[k]) for k in by_id[np.random.default_rng(7).permutation(len(ids))]]
         return pa.table({"weights": pa.array([fit_ftrl(data, bits).astype("<f4").tobytes()], pa.binary())})
 
     found = rows.mapInArrow(to_rows, "doc_id long, y double, cols binary, vals binary").groupBy().applyInArrow(fit, "weights binary").collect()
@@ -95,20 +99,23 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, keep: tuple[st
     """The columns keep and text's score (0 to 1) for every document."""
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float64))
     keep = tuple(dict.fromkeys(keep))
+    at_text = keep.index("text") if "text" in keep else len(keep)
     out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", score double"
 
     def run(batches):
         w = shared.value
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(at_text)
             scores = np.empty(len(texts))
             for lo, hi in slices(texts, SLICE):
                 at, col, value = features(texts.slice(lo, hi - lo), bits)
                 row = np.repeat(np.arange(hi - lo), np.diff(at))
                 scores[lo:hi] = np.bincount(row, w[col] * value, hi - lo) + w[-1]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(1 / (1 + np.exp(-np.clip(scores, -35, 35))))], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(1 / (1 + np.exp(-np.clip(scores, -35, 35))))], [*keep, "score"])
+        pa.default_memory_pool().release_unused()
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, out_schema)
+    # a text that is kept anyway is not sent twice
+    return docs.select(*keep, *([] if "text" in keep else [F.col("text").alias("__text")])).mapInArrow(run, out_schema)
 
 
 def is_held_out():
