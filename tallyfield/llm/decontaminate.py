@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _CLASSES, gram_hashes, slices, text_buffer, token_hashes
+from .common import _CLASSES, gram_hashes, slices, text_buffer, tidy, token_hashes
 
 K1, B = 1.2, 0.75
 SEGMENT, STRIDE, SHARD, BLOCK = 64, 64, 2048, 4
@@ -193,7 +193,7 @@ def scan(docs: DataFrame, items: DataFrame, least: float = SCORE, overlap: float
                 hits = [(old or []) + new for old, new in zip(before.to_pylist(), hits)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(hits, kind)], batch.schema.names)
 
-        df = df.mapInArrow(run, df.schema)
+        df = df.mapInArrow(tidy(run), df.schema)
     return df
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, tidy
 
 BOOKS, WORDS, BEAM, SAMPLE, ROUNDS = 8, 64, 8, 8192, 3
 K, RERANK, QUERY_BLOCK = 10, 200, 8192
@@ -111,7 +111,7 @@ def build(vectors: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, np.ndarr
             norm = (decode(codes, shared.value) ** 2).sum(1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm)], ["vec_id", "embedding", "codes", "norm"])
 
-    return materialise(rows.mapInArrow(run, "vec_id long, embedding array<double>, codes binary, norm double")), books
+    return materialise(rows.mapInArrow(tidy(run), "vec_id long, embedding array<double>, codes binary, norm double")), books
 
 
 def search(index: DataFrame, books: np.ndarray | None, queries: DataFrame, k: int = K, rerank: int = RERANK) -> DataFrame:
@@ -166,4 +166,4 @@ def _searched(index: DataFrame, books, block, k: int, rerank: int) -> DataFrame:
         if sum(n):
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(np.concatenate([v for _, v in best])), pa.array(np.concatenate([s for s, _ in best]))], ["query_id", "vec_id", "score"])
 
-    return index.mapInArrow(run, "query_id long, vec_id long, score double")
+    return index.mapInArrow(tidy(run), "query_id long, vec_id long, score double")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, gram_hashes, materialise, mix64, slices, small_or_shuffled, text_buffer, token_hashes
+from .common import components, gram_hashes, materialise, mix64, slices, small_or_shuffled, text_buffer, tidy, token_hashes
 
 WORDS, THRESHOLD = 5, 0.8
 ROWS, BANDS, TOLERANCE, STEP = 4, 25, 1e-6, 10
@@ -180,7 +180,7 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("th"), pa.array([x.tobytes() for x in node], pa.binary()), pa.array([x.astype("<u4").tobytes() for x in sig], pa.binary())], ["doc_id", "th", "node", "sig"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
-    return rows.mapInArrow(run, "doc_id long, th long, node binary, sig binary")
+    return rows.mapInArrow(tidy(run), "doc_id long, th long, node binary, sig binary")
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -192,7 +192,7 @@ def _bands(nodes: DataFrame) -> DataFrame:
                 key = mix64(key ^ sig[:, :, r]) if r else mix64(key + sig[:, :, r])
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), batch.column("node").take(pa.array(np.repeat(np.arange(batch.num_rows), BANDS)))], ["key", "node"])
 
-    return nodes.select("node", "sig").mapInArrow(run, "key long, node binary")
+    return nodes.select("node", "sig").mapInArrow(tidy(run), "key long, node binary")
 
 
 def _pruned(pairs: DataFrame, cuts) -> DataFrame:
@@ -202,7 +202,7 @@ def _pruned(pairs: DataFrame, cuts) -> DataFrame:
             ok = surviving(_sig(batch.column("su")), _sig(batch.column("sv")), at, at, cuts)
             yield batch.select(["u", "v"]).take(pa.array(ok))
 
-    return pairs.mapInArrow(run, "u binary, v binary")
+    return pairs.mapInArrow(tidy(run), "u binary, v binary")
 
 
 def dealt(members: DataFrame, group: str, node: str, block: int) -> DataFrame:

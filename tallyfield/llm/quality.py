@@ -5,8 +5,8 @@ counted per text and scaled to unit length (a
 token that follows itself is one 2-gram, whichever it is); a score is the logistic of a sparse dot product plus a bias.
 
 Training uses a bounded sample of the labelled rows (`max_rows`, the rows with the smallest id hashes): their
-features are made by Spark and one task makes a few FTRL passes over them. The model has a fixed size
-(2**bits weights), so its broadcast is bounded. Scoring covers every whole text and needs no shuffle.
+features are made by Spark and written once; each FTRL pass streams them through one task, which holds a batch and
+the model. The model has a fixed size (2**bits weights), so its broadcast is bounded. Scoring covers every whole text and needs no shuffle.
 
 Defined cases: a null text counts as empty; an empty text gets the bias's score; a null label is no label; of
 several labels of a doc_id the largest holds; with no labelled row at all every score is 0.5.
@@ -14,17 +14,16 @@ several labels of a doc_id the largest holds; with no labelled row at all every
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, slices, text_buffer, token_hashes
+from .common import gram_hashes, materialise, slices, text_buffer, tidy, token_hashes
 
 BITS = 18
 MAX_ROWS = 12_000
+PASSES = 3
 #: Bytes of text whose features are made at once.
 SLICE = 2 << 20
 #: The hash of a token followed by itself, whichever it is.
@@ -52,23 +51,25 @@ def features(texts: pa.Array, bits: int = BITS, orders: tuple[int, ...] = (1, 2)
     return at, col, value / norm[row]
 
 
-def fit_ftrl(rows, bits: int = BITS, alpha: float = 0.5, beta: float = 1.0, l1: float = 1e-3, l2: float = 1e-3, passes: int = 3) -> np.ndarray:
-    """Weights (the last is the bias) of (bucket array, value array, label) rows, by FTRL-proximal updates in the given order."""
-    z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
-    weights = lambda zi, ni: np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(ni)) / alpha + l2))
-    for _ in range(passes):
-        for col, value, label in rows:
-            i, x = np.append(col, 1 << bits), np.append(value, 1.0)
-            w = weights(z[i], n[i])
-            p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
-            g = (p - label) * x
-            step = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
-            z[i] += g - step * w
-            n[i] += g * g
-    return weights(z, n)
-
-
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", train_if=None, max_rows: int = MAX_ROWS, bits: int = BITS) -> np.ndarray:
+def ftrl_pass(rows, z: np.ndarray, n: np.ndarray, alpha: float = 0.5, beta: float = 1.0, l1: float = 1e-3, l2: float = 1e-3) -> None:
+    """FTRL-proximal updates of the state (z, n), whose last entries are the bias's, by (bucket array, value array, label) rows in the given order."""
+    bias = len(z) - 1
+    for col, value, label in rows:
+        i, x = np.append(col, bias), np.append(value, 1.0)
+        w = ftrl_weights(z[i], n[i], alpha, beta, l1, l2)
+        p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
+        g = (p - label) * x
+        step = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
+        z[i] += g - step * w
+        n[i] += g * g
+
+
+def ftrl_weights(z: np.ndarray, n: np.ndarray, alpha: float = 0.5, beta: float = 1.0, l1: float = 1e-3, l2: float = 1e-3) -> np.ndarray:
+    """Weights that a state stands for."""
+    return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2))
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", train_if=None, max_rows: int = MAX_ROWS, bits: int = BITS, passes: int = PASSES) -> np.ndarray:
     """Weights learnt from at most max_rows of the labelled documents for which train_if (a column over doc_id) holds."""
     known = labels.select("doc_id", F.col(label).cast("double").alias("y")).where("y is not null and doc_id is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
     known = known.where(train_if) if train_if is not None else known
@@ -82,17 +83,26 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", train_if=N
                 at, col, value = features(part.column("text"), bits)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), pa.array([col[a:b].astype("<i4").tobytes() for a, b in zip(at, at[1:])], pa.binary()), pa.array([value[a:b].astype("<f4").tobytes() for a, b in zip(at, at[1:])], pa.binary())], ["doc_id", "y", "cols", "vals"])
 
-    def fit(table: pa.Table) -> pa.Table:
-        view = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table[name]]  # noqa: E731  (views, no copies)
-        ids, ys, cols, vals = table["doc_id"].to_numpy(), table["y"].to_numpy(), view("cols", "<i4"), view("vals", "<f4")
-        # an order that does not depend on the ids' own; documents that repeat an id are told apart by their features
-        content = np.array([zlib.crc32(v, zlib.crc32(c)) for c, v in zip(cols, vals)], np.int64)
-        by_id = np.lexsort((content, ids))
-        data = [(cols[k], vals[k], ys[k]) for k in by_id[np.random.default_rng(7).permutation(len(ids))]]
-        return pa.table({"weights": pa.array([fit_ftrl(data, bits).astype("<f4").tobytes()], pa.binary())})
+    made = materialise(rows.mapInArrow(tidy(to_rows), "doc_id long, y double, cols binary, vals binary"))
+    # an order that does not depend on the ids' own; documents that repeat an id are told apart by their features
+    dealt = made.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(7)), "doc_id", F.xxhash64("cols", "vals")).select("y", "cols", "vals")
+    z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
+    for _ in range(passes):
+        # the state has a fixed size: it goes to the one task of a pass and comes back
+        state = docs.sparkSession.sparkContext.broadcast((z, n))
+
+        def one_pass(batches, state=state):
+            z, n = (x.copy() for x in state.value)
+            for batch in batches:
+                ys, cols, vals = (batch.column(c) for c in ("y", "cols", "vals"))
+                ftrl_pass(((np.frombuffer(c.as_buffer(), "<i4"), np.frombuffer(v.as_buffer(), "<f4"), y.as_py()) for y, c, v in zip(ys, cols, vals)), z, n)
+            yield pa.RecordBatch.from_arrays([pa.array([z.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], ["z", "n"])
 
-    found = rows.mapInArrow(to_rows, "doc_id long, y double, cols binary, vals binary").groupBy().applyInArrow(fit, "weights binary").collect()
-    return np.frombuffer(found[0][0], "<f4") if found else np.zeros((1 << bits) + 1, "<f4")
+        found = dealt.mapInArrow(tidy(one_pass), "z binary, n binary").collect()
+        state.unpersist()
+        if found:
+            z, n = (np.frombuffer(x) for x in found[0])
+    return ftrl_weights(z, n).astype("<f4")
 
 
 def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -112,10 +122,9 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, keep: tuple[st
                 row = np.repeat(np.arange(hi - lo), np.diff(at))
                 scores[lo:hi] = np.bincount(row, w[col] * value, hi - lo) + w[-1]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(1 / (1 + np.exp(-np.clip(scores, -35, 35))))], [*keep, "score"])
-        pa.default_memory_pool().release_unused()
 
     # a text that is kept anyway is not sent twice
-    return docs.select(*keep, *([] if "text" in keep else [F.col("text").alias("__text")])).mapInArrow(run, out_schema)
+    return docs.select(*keep, *([] if "text" in keep else [F.col("text").alias("__text")])).mapInArrow(tidy(run), out_schema)
 
 
 def is_held_out():

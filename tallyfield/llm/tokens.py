@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, open_fs, shared_dir
+from .common import materialise, open_fs, shared_dir, tidy
 
 END_ID = 0
 #: Chunks that a worker remembers; beyond it, new ones are encoded each time.
@@ -135,7 +135,7 @@ def write(docs: DataFrame, folder: str | None = None, tokenizer: str | None = No
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     dealt = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
-    done = materialise(dealt.mapInArrow(run, "part int, name string, n_docs long, n_tokens long, width int"))
+    done = materialise(dealt.mapInArrow(tidy(run), "part int, name string, n_docs long, n_tokens long, width int"))
     # one row a partition: the window is over a few thousand rows at most
     before = F.coalesce(F.expr("sum(n_tokens) over (order by part rows between unbounded preceding and 1 preceding)"), F.lit(0))
     return materialise(done.select("*", before.alias("base"), F.lit(folder).alias("folder")))
@@ -166,4 +166,4 @@ def read(manifest: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(d, mask=d == NO_ID), pa.array(m["base"] + np.asarray(span[:-1])), pa.array(np.diff(span)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     sets = max(1, manifest.count())
-    return manifest.repartition(min(sets, 10_000)).select("name", "width", "base", "folder").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return manifest.repartition(min(sets, 10_000)).select("name", "width", "base", "folder").mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
