@@ -139,6 +139,32 @@ def test_substring_dedup_catches_passages_and_leaves_the_rest(spark):
     assert substring_dedup.find(df.limit(0)).count() == 0
 
 
+def test_substring_dedup_spans_brute_force(spark):
+    """Passages of 51 to 80 words in the middle of two texts, whole or with an edited word: the span is what brute force finds."""
+    r, texts, want = random.Random(11), [], {}
+    for k in range(40):
+        w = prose(5000 + k, 51 + k % 30).split()
+        v = list(w)
+        if k % 2:
+            at = r.randrange(6, len(w) - 6)
+            v[at : at + 1] = [["edit"], [], ["two", "words"]][k // 2 % 3]
+        for doc, words in ((k, w), (100 + k, v)):
+            head, tail = prose(6000 + doc, r.randrange(20, 60)).split(), prose(7000 + doc, r.randrange(20, 60)).split()
+            texts.append((doc, " ".join(head + words + tail)))
+            want[doc] = set(range(len(head), len(head) + len(words)))
+    texts += [(200 + k, prose(8000 + k, 200)) for k in range(10)]
+    raw, got = {i: x.encode() for i, x in texts}, {}
+    df = docs_of(spark, texts)
+    for x in substring_dedup.find(df).collect():
+        before, span = raw[x.doc_id][: x.start].split(), raw[x.doc_id][x.start : x.start + x.bytes].split()
+        assert len(span) == x.words
+        got.setdefault(x.doc_id, set()).update(range(len(before), len(before) + len(span)))
+    assert got == want
+    left = {x.doc_id: x.text.split() for x in substring_dedup.remove(df, substring_dedup.find(df)).collect()}
+    for i, x in texts:
+        assert left[i] == [w for k, w in enumerate(x.split()) if not 100 <= i < 200 or k not in want[i]]
+
+
 def sets_of(texts):
     out = {}
     for k, (i, x) in enumerate(texts):
