@@ -7,7 +7,8 @@ each STRIDE words: a run of STRIDE words lies wholly in some passage. For each p
 its terms' largest impacts in the block bounds the score (for all passages of a batch at once); blocks that may reach
 the threshold are searched by WAND with the block's maxima as bounds. Found items are verified against the passage and
 its surroundings: the shares of the question's and of the answer's word n-grams that occur there. An item of one
-text has its first half as question and its second as answer.
+text has its first half as question and its second as answer. An item of fewer than 2 * GRAM words counts where its words
+stand in a row, all of them: its halves are too short for n-grams.
 
 The index goes to every task in shards of at most SHARD segments (some MB); several shards are several sweeps over
 the texts, each adding to the hits so far. No text is shuffled.
@@ -42,8 +43,8 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return h[word], np.concatenate([[0], np.cumsum(word)])[at]
 
 
-def _grams(h: np.ndarray) -> np.ndarray:
-    return gram_hashes(h, np.array([0, len(h)]), GRAM)[0]
+def _grams(h: np.ndarray, n: int = GRAM) -> np.ndarray:
+    return gram_hashes(h, np.array([0, len(h)]), n)[0]
 
 
 class Index:
@@ -51,7 +52,11 @@ class Index:
 
     def __init__(self, segments: list[tuple[int, int]], items: list[tuple[int, np.ndarray, np.ndarray]], df: dict[int, int], n: int, mean: float):
         """segments: (place in items, first word); items: (item_id, question words, answer words)."""
-        self.items = [(i, _grams(q), _grams(a), len(q) + len(a)) for i, q, a in items]
+        self.items = []
+        for i, q, a in items:
+            length = len(q) + len(a)
+            short = _grams(np.concatenate([q, a]), length) if length < 2 * GRAM else None
+            self.items.append((i, *((_grams(q), _grams(a)) if short is None else (short, short)), length))
         self.item_of = np.array([k for k, _ in segments])
         rows = []
         for seg, (k, lo) in enumerate(segments):
@@ -140,7 +145,7 @@ class Index:
                 item_id, q, a, length = self.items[k := int(self.item_of[seg])]
                 d = int(own[p])
                 lo = at[d] + (p - c_at[d]) * STRIDE
-                near = _grams(h[max(at[d], lo - length) : min(at[d + 1], lo + 2 * STRIDE + length)])
+                near = _grams(h[max(at[d], lo - length) : min(at[d + 1], lo + 2 * STRIDE + length)], length if length < 2 * GRAM else GRAM)
                 share = lambda g: float(np.isin(g, near).mean()) if len(g) else 1.0  # noqa: E731, B023
                 qo, ao = share(q), share(a)
                 if qo >= overlap and ao >= overlap:
