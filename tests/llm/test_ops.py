@@ -165,6 +165,17 @@ def test_substring_dedup_spans_brute_force(spark):
         assert left[i] == [w for k, w in enumerate(x.split()) if not 100 <= i < 200 or k not in want[i]]
 
 
+def test_no_pair_at_the_threshold_is_left_to_chance(spark):
+    texts = []
+    for k in range(400):
+        w = prose(9000 + k, 49).split()
+        v = list(w)
+        v[5 + k % 39] = "edit"
+        texts += [(k, " ".join(w)), (1000 + k, " ".join(v))]
+    found = substring_dedup.find(docs_of(spark, texts)).collect()
+    assert {x.doc_id for x in found} == {i for i, _ in texts}
+
+
 def sets_of(texts):
     out = {}
     for k, (i, x) in enumerate(texts):
