@@ -165,6 +165,20 @@ def test_substring_dedup_spans_brute_force(spark):
         assert left[i] == [w for k, w in enumerate(x.split()) if not 100 <= i < 200 or k not in want[i]]
 
 
+def test_substring_dedup_short_copies_and_ends(spark):
+    short, passage = [prose(300 + n, n) for n in (5, 7, 8, 15)], prose(333, 60)
+    texts = [(10 * k + c, x) for k, x in enumerate(short) for c in (1, 2)] + [(100, passage + " " + prose(1, 80)), (101, prose(2, 80) + " " + passage)]
+    found = substring_dedup.find(docs_of(spark, texts)).collect()
+    assert {x.doc_id for x in found} == {i for i, _ in texts}
+    raw, covered = {i: x.encode() for i, x in texts}, {100: set(), 101: set()}
+    for x in found:
+        if x.doc_id < 100:
+            assert (x.start, x.bytes) == (0, len(raw[x.doc_id])) and x.keep == (x.doc_id % 10 == 1)
+        else:
+            covered[x.doc_id].update(raw[x.doc_id][x.start : x.start + x.bytes].decode().split())
+    assert covered[100] == covered[101] == set(passage.split())
+
+
 def test_no_pair_at_the_threshold_is_left_to_chance(spark):
     texts = []
     for k in range(400):
