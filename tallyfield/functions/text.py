@@ -172,8 +172,10 @@ def first_paragraph(text: Column, least: int = 80, most: int = 400) -> Column:
 EMAIL = r"([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})"
 
 
-def emails(text: Column, spam: str = r"example\.|noreply|no-reply|sentry|wixpress", most: int = 6) -> Column:
-    return F.slice(F.array_distinct(F.filter(F.transform(F.regexp_extract_all(text, F.lit(EMAIL), 1), F.lower), lambda e: ~e.rlike(spam))), 1, most)
+def emails(text: Column, spam: str = r"example\.|noreply|no-reply|sentry|wixpress", most: int | None = 6) -> Column:
+    """Distinct addresses in lower case, the first `most` (none: all)."""
+    found = F.array_distinct(F.filter(F.transform(F.regexp_extract_all(text, F.lit(EMAIL), 1), F.lower), lambda e: ~e.rlike(spam)))
+    return found if most is None else F.slice(found, 1, most)
 
 
 def contexts(text: Column, pattern: str, around: int = 60, most: int = 5) -> Column:

@@ -129,7 +129,7 @@ def tag_sets(spark, d):
 
 @query(r"SELECT doc_id, len(list_distinct(list_filter(regexp_extract_all(text, '([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})', 1), lambda e: NOT regexp_matches(lower(e), 'noreply|no-reply|sentry|wixpress'))))::INT AS n_emails, regexp_extract(text, '((?:19|20)\d{2})', 1) AS year_text FROM documents")
 def emails_and_years(spark, d):
-    e = T.emails(F.col("text"), r"noreply|no-reply|sentry|wixpress", 1000)
+    e = T.emails(F.col("text"), r"noreply|no-reply|sentry|wixpress", None)
     return t(spark, d, "documents").select("doc_id", F.size(e).alias("n_emails"), F.regexp_extract("text", r"((?:19|20)\d{2})", 1).alias("year_text"))
 
 

@@ -307,6 +307,13 @@ def test_short_items_are_found_in_a_row(spark, tmp_path):
     assert sorted((x.doc_id, x.item_id) for x in got) == sorted((i, n) for i, x in texts for n, y in items if x and y and y in x)
 
 
+def test_all_email_addresses_count(spark, tmp_path):
+    from tallyfield import queries
+
+    docs_of(spark, [(1, " ".join(f"a{k}@b.org" for k in range(1500)))]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert queries.emails_and_years(spark, str(tmp_path)).first().n_emails == 1500
+
+
 def test_wand_finds_what_full_scoring_finds():
     r = np.random.default_rng(2)
     vocab = r.integers(1, 1 << 62, 300).astype(np.uint64)
