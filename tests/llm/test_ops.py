@@ -337,9 +337,10 @@ def test_wand_finds_what_full_scoring_finds():
 def test_token_files_round_trip(spark):
     from tokenizers import Tokenizer
 
-    odd = ODD + [(8, "a  b   c \n d\t\te <|endoftext|> 's  \u00a0x"), (9, " lead and trail ")]
+    odd = ODD + [(-(1 << 63), "least id"), (8, "a  b   c \n d\t\te <|endoftext|> 's  \u00a0x"), (9, " lead and trail ")]
     t = Tokenizer.from_file(tokens.default_tokenizer())
-    got = tokens.read(tokens.write(docs_of(spark, odd).repartition(3))).collect()
+    clash = docs_of(spark, odd).selectExpr("*", "1 as h", "2 as n_tokens", "3 as base")
+    got = tokens.read(tokens.write(clash.repartition(3))).collect()
     want = {}
     for i, x in odd:
         ids = t.encode(x or "", add_special_tokens=False).ids + [0]
@@ -355,3 +356,12 @@ def test_token_files_round_trip(spark):
     ids = [x.doc_id for x in sorted(got, key=lambda x: x.start)]
     assert ids[0] is None and ids[1:] == sorted(ids[1:])
     assert tokens.read(tokens.write(docs_of(spark, odd).limit(0))).count() == 0
+
+
+def test_encoder_generations_give_the_tokenizers_ids(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    enc = tokens.Encoder(tokens.default_tokenizer())
+    texts = [prose(k % 5, 60 + k) + (".\nNext, 's  x" if k % 2 else "") for k in range(30)]
+    for lo in range(0, 30, 4):
+        want = [np.asarray(e.ids, enc.dtype).tobytes() for e in enc.tokenizer.encode_batch_fast(texts[lo : lo + 4], add_special_tokens=False)]
+        assert enc.encode(texts[lo : lo + 4]) == want
