@@ -5,14 +5,17 @@ on a bounded sample (`sample` vectors with the smallest id hashes): residual k-m
 beam-search encoding and least squares over all codebooks at once. Every vector is encoded by beam search and stored
 with its codes and the squared norm of its approximation.
 
-A query's tables hold its dot products with all codewords; the distance to a stored vector is its norm minus twice
-the sum of BOOKS entries. The best `rerank` of each batch are ranked again by exact Euclidean distance in double
-precision. Each task keeps its best k a query while it streams over its vectors, so k rows a query and task are
-shuffled; queries come in blocks of bounded size, one pass over the index a block.
+A query's tables hold its dot products with all codewords; the approximate distance to a stored vector is its norm minus
+twice the sum of BOOKS entries. A query's radius is the approximate distance within which a share of the sample lies (SHARE,
+but at least RERANK of all rows): what lies within it, in the whole index, is ranked by exact Euclidean distance in double
+precision. So the shortlist is one for the index, however its rows are dealt to tasks. Each task keeps its best k a query
+while it streams over its vectors, so k rows a query and task are shuffled; queries come in blocks of bounded size, one
+pass over the index a block, and a block's vectors are given up when its pass is written.
 
 Defined cases: vectors that are null, zero, or hold null, NaN or infinite components take no part, nor do those of a
 length other than the most common one, nor null ids; rows with the query's own id are no candidates; a query id that
-repeats is asked for its smallest vector; ties go to the smaller vec_id; fewer candidates than k are all returned.
+repeats is asked for its smallest vector; repeated rows are candidates each; ties go to the smaller vec_id; fewer candidates
+than k are all returned; columns other than vec_id and embedding are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,12 +27,13 @@ from pyspark.sql import functions as F
 
 from .common import materialise, tidy
 
-BOOKS, WORDS, BEAM, SAMPLE, ROUNDS = 8, 64, 8, 8192, 3
-K, RERANK, QUERY_BLOCK = 10, 200, 8192
+BOOKS, WORDS, BEAM, SAMPLE, ROUNDS = 16, 128, 4, 8192, 3
+K, RERANK, SHARE, QUERY_BLOCK = 10, 200, 0.02, 8192
 
 
 def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> np.ndarray:
     """Codes (uint8) of the rows of x: the best of `beam` partial sums is kept after each codebook."""
+    x, books = x.astype(np.float32), books.astype(np.float32)
     n, (m, k, d) = len(x), books.shape
     out = np.empty((n, m), np.uint8)
     norms = (books**2).sum(2)
@@ -114,50 +118,69 @@ def build(vectors: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, np.ndarr
     return materialise(rows.mapInArrow(tidy(run), "vec_id long, embedding array<double>, codes binary, norm double")), books
 
 
-def search(index: DataFrame, books: np.ndarray | None, queries: DataFrame, k: int = K, rerank: int = RERANK) -> DataFrame:
+def _distances(tables: np.ndarray, codes: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    """Approximate squared distances, less the query's own norm, of queries (rows) and stored vectors."""
+    dist = np.broadcast_to(norm, (len(tables), len(codes))).copy()
+    for m in range(codes.shape[1]):
+        dist -= 2 * tables[:, m][:, codes[:, m]]
+    return dist
+
+
+def _tables(q: np.ndarray, books: np.ndarray) -> np.ndarray:
+    return np.einsum("qd,mkd->qmk", q, books).astype(np.float32)
+
+
+def _codes(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), -1)
+
+
+def search(index: DataFrame, books: np.ndarray | None, queries: DataFrame, k: int = K, rerank: int = RERANK, share: float = SHARE, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query (vec_id, embedding)."""
     spark, found = index.sparkSession, None
     empty = spark.createDataFrame([], "query_id long, vec_id long, score double")
-    asked = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).orderBy("vec_id")
+    n = index.count()
+    some = index.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("codes", "norm").collect() if books is not None else []  # at most sample rows of 24 bytes
     held: list = []
-
-    def flush():
-        nonlocal found, held
-        if held:
-            block = spark.sparkContext.broadcast((np.array([r[0] for r in held]), np.array([r[1] for r in held], np.float64)))
-            part = _searched(index, spark.sparkContext.broadcast(books), block, k, rerank)
-            found, held = part if found is None else found.unionByName(part), []
-
-    for r in asked.toLocalIterator():
-        held.append((r["vec_id"], r["embedding"]))
-        if len(held) == QUERY_BLOCK:
-            flush()
-    flush()
+    if some:
+        rank = min(len(some), int(np.ceil(max(share, (rerank + 1) / n) * len(some))))
+        shared = spark.sparkContext.broadcast((books, _codes([r["codes"] for r in some]), np.array([r["norm"] for r in some], np.float32)))
+
+        def radii(batches):
+            books, codes, norm = shared.value
+            for batch in batches:
+                out = []
+                for lo in range(0, batch.num_rows, 256):
+                    dist = _distances(_tables(_matrix(batch.column("embedding").slice(lo, 256)), books), codes, norm)
+                    out.append(np.partition(dist, rank - 1, axis=1)[:, rank - 1] if rank < len(norm) or len(norm) < n else np.full(len(dist), np.inf))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out).astype(np.float64))], [*batch.schema.names, "radius"])
+
+        asked = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).mapInArrow(tidy(radii), "vec_id long, embedding array<double>, radius double")
+        for r in asked.orderBy("vec_id").toLocalIterator():
+            held.append(tuple(r))
+            if len(held) == QUERY_BLOCK:
+                found, held = _searched(found, index, books, held, k), []
+    found = _searched(found, index, books, held, k) if held else found
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (found if found is not None else empty).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def _searched(index: DataFrame, books, block, k: int, rerank: int) -> DataFrame:
+def _searched(before: DataFrame | None, index: DataFrame, books: np.ndarray, asked: list, k: int) -> DataFrame:
+    """before and each task's k best of a block of queries (id, vector, radius), written."""
+    block = index.sparkSession.sparkContext.broadcast((books, np.array([r[0] for r in asked]), np.array([r[1] for r in asked], np.float64), np.array([r[2] for r in asked], np.float32)))
+
     def run(batches):
-        ids, q = block.value
-        tables = np.einsum("qd,mkd->qmk", q, books.value).astype(np.float32)
+        books, ids, q, radius = block.value
+        tables = _tables(q, books)
         best: list = [(np.zeros(0), np.zeros(0, np.int64))] * len(ids)
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
                 part = batch.slice(lo, 4096)
                 vec, x = np.asarray(part.column("vec_id")), _matrix(part.column("embedding"))
-                codes = np.frombuffer(b"".join(part.column("codes").to_pylist()), np.uint8).reshape(len(vec), -1)
-                norm = np.asarray(part.column("norm")).astype(np.float32)
+                codes, norm = _codes(part.column("codes").to_pylist()), np.asarray(part.column("norm")).astype(np.float32)
                 for at in range(0, len(ids), 256):
-                    dist = np.broadcast_to(norm, (len(ids[at : at + 256]), len(vec))).copy()
-                    for m in range(codes.shape[1]):
-                        dist -= 2 * tables[at : at + 256, m][:, codes[:, m]]
-                    if rerank < len(vec):  # all that tie with the last are taken
-                        limit = np.partition(dist, rerank, axis=1)[:, rerank]
-                    else:
-                        limit = np.full(len(dist), np.inf)
+                    dist = _distances(tables[at : at + 256], codes, norm)
                     for i in range(len(dist)):
-                        near = np.flatnonzero((dist[i] <= limit[i]) & (vec != ids[at + i]))
+                        near = np.flatnonzero((dist[i] <= radius[at + i]) & (vec != ids[at + i]))
                         s = np.sqrt(((x[near] - q[at + i]) ** 2).sum(1))
                         s, v = np.concatenate([best[at + i][0], s]), np.concatenate([best[at + i][1], vec[near]])
                         top = np.lexsort((v, s))[:k]
@@ -166,4 +189,6 @@ def _searched(index: DataFrame, books, block, k: int, rerank: int) -> DataFrame:
         if sum(n):
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(np.concatenate([v for _, v in best])), pa.array(np.concatenate([s for s, _ in best]))], ["query_id", "vec_id", "score"])
 
-    return index.mapInArrow(tidy(run), "query_id long, vec_id long, score double")
+    part = materialise(index.mapInArrow(tidy(run), "query_id long, vec_id long, score double"))
+    block.destroy()
+    return part if before is None else before.unionByName(part)
