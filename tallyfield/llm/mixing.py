@@ -2,11 +2,12 @@
 
 Sizes are aggregated per source, targets are shared out by weight under a cap per source (water-filling), a
 source's repetition rate is target / size, and each document is emitted floor(rate) times plus one copy with
-probability equal to the fraction; the draw is a hash of seed, doc_id and text, so reruns agree.
+probability equal to the fraction; the draw is a hash of seed, doc_id and the whole text, so reruns agree.
 
 Defined cases: null texts have size 0; null is a source of its own, last in order; a source without words has
-target 0 and rate 0; repeated rows draw alike; an empty table gives no rows; columns of docs that are named size,
-source_size, target or copies are replaced by the plan's.
+target 0 and rate 0; rows with equal doc_id and text draw alike; an empty table gives no rows. In plan(), columns of docs
+that are named size, source_size, target or copies are replaced by the plan's; mix() returns the columns of docs untouched.
+The shares are worked out in windows over one row a source, in one task: some millions of sources at most.
 """
 
 from __future__ import annotations
@@ -55,6 +56,13 @@ def draw(seed: int, *by: Column) -> Column:
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = SEED) -> DataFrame:
     """docs with size, source_size, target and copies, the number of times that the mix takes the document."""
+    planned = _planned(docs, weights, share, cap, seed)
+    named = [F.col(c) for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    return planned.select(*named, F.col("__size").alias("size"), F.col("__size_all").alias("source_size"), F.col("__target").alias("target"), F.col("__copies").alias("copies"))
+
+
+def _planned(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = SEED) -> DataFrame:
+    """docs with __size, __size_all, __target and __copies."""
     sized = docs.select("doc_id", "source", "text").select("source", size_of(F.col("text")).alias("size"))
     goal = materialise(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap))
     goal = goal.select(F.col("source").alias("__source"), F.col("source_size").alias("__size_all"), F.col("target").alias("__target"))
@@ -67,12 +75,11 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHA
         joined = rows.join(goal, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__draw_salt") == F.col("__salt")), "left")
     rate = F.when(F.col("__size_all") > 0, F.least(F.col("__target") / F.col("__size_all"), F.lit(float(cap)))).otherwise(F.lit(0.0))
     whole = F.floor(rate)
-    copies = whole + (draw(seed, F.col("doc_id"), F.length("text")) < rate - whole).cast("long")
-    named = [docs[c] for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
-    return joined.select(*named, F.col("__size").alias("size"), F.col("__size_all").alias("source_size"), F.col("__target").alias("target"), copies.alias("copies"))
+    copies = whole + (draw(seed, F.col("doc_id"), F.md5("text")) < rate - whole).cast("long")
+    return joined.select(*docs.columns, "__size", "__size_all", "__target", copies.alias("__copies"))
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: each document copies times, with the columns of docs."""
-    planned = plan(docs, **how)
-    return planned.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[planned[c] for c in docs.columns if c in planned.columns])
+    taken = _planned(docs, **how).where("__copies > 0")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)

@@ -49,7 +49,7 @@ f AS (SELECT level FROM l, c GROUP BY level ORDER BY abs(sum(least(cap, level *
 t AS (SELECT source, source_size, least(cap, (SELECT level FROM f) * w) AS target FROM c),
 r AS (SELECT d.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN least(t.target / t.source_size, {CAP}::DOUBLE) ELSE 0 END AS rate
       FROM sized d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-x AS (SELECT *, CAST('0x' || substr(md5(concat_ws(':', '{SEED}', coalesce(doc_id::VARCHAR, ''), coalesce(length(text)::VARCHAR, ''))), 1, 13) AS BIGINT)::DOUBLE / 4503599627370496 AS u FROM r)
+x AS (SELECT *, CAST('0x' || substr(md5(concat_ws(':', '{SEED}', coalesce(doc_id::VARCHAR, ''), coalesce(md5(text), ''))), 1, 13) AS BIGINT)::DOUBLE / 4503599627370496 AS u FROM r)
 SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM x
 """
 
