@@ -20,7 +20,7 @@ CONTROL = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[
 
 def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.assemble(warc.records(warc.write(_read(spark, sf_dir, "pages"))))
-    told = lambda name: F.try_element_at("metadata.info", F.lit(name)).try_cast("long")
+    told = lambda name: F.try_element_at(F.try_element_at("metadata", F.lit(1))["info"], F.lit(name)).try_cast("long")
     whole = F.col("response.record_type") == "response"
     return captures.select(
         told("page-id").alias("page_id"),

@@ -2,8 +2,9 @@
 
 Writing makes four kinds of gzip members: a warcinfo record a file, and per capture a request, a response (or, for a
 payload that an earlier capture has, a revisit) and a metadata record. Request and metadata name the response's or
-revisit's record in WARC-Concurrent-To. Reading turns each record into a row; assembly groups records by the record
-they are concurrent to and gives one nested row per capture, whatever order or files the records came in.
+revisit's record in WARC-Concurrent-To. Reading turns each record into a row; assembly follows the concurrent-to
+identifiers, in either direction and over several steps, and gives one nested row per capture, whatever order or files the
+records came in.
 
 Which record is the response of equal payloads is settled before writing, over (page_id, digest) only: the smallest
 page_id of a digest, by a partial aggregate and a join of narrow rows; the payloads themselves are shuffled once, by
@@ -11,7 +12,9 @@ page_id, so copies of one payload are spread. Files are named at random and list
 
 Defined cases: a null html is an empty payload; rows with the same page_id and payload are all responses if theirs is
 the smallest page_id; rows with a null page_id are captures without id and revisits of the smallest id, if any; null
-urls are written without WARC-Target-URI.
+urls are written without WARC-Target-URI; columns other than page_id, url and html are ignored, whatever their names; an
+empty table gives no archives. Reading: a header that repeats keeps its first value, WARC-Concurrent-To all of them; a
+Content-Length that is no number counts as 0; a record that a file's end cuts off is a row with complete = false.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, open_fs, shared_dir
+from .common import components, materialise, open_fs, shared_dir
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
@@ -96,7 +99,7 @@ def write(pages: DataFrame, least_bytes: int = 0, folder: str | None = None) ->
 
 
 def parse(stream):
-    """(header fields in lower case, block) of every record of a gzip or plain WARC stream, one at a time."""
+    """(header fields in lower case, concurrent-to ids, block, whether it is whole) of every record of a gzip or plain WARC stream, one at a time."""
     buffer, z, member = bytearray(), None, None
 
     def plain():
@@ -110,8 +113,8 @@ def parse(stream):
                 continue
             while raw:
                 z = z or zlib.decompressobj(31)
-                yield z.decompress(raw)
-                raw, z = (z.unused_data, None) if z.eof else (b"", z)
+                yield z.decompress(raw, 1 << 20)
+                raw, z = (z.unused_data, None) if z.eof else (z.unconsumed_tail, z)
 
     source = plain()
 
@@ -134,15 +137,19 @@ def parse(stream):
         if end < 0:
             continue
         lines = bytes(buffer[:end]).decode("utf-8", "replace").split("\r\n")
-        fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        size = int(fields.get("content-length", 0))
+        fields, links = {}, []
+        for k, _, v in (x.partition(":") for x in lines[1:]):
+            fields.setdefault(k.strip().lower(), v.strip())
+            links += [v.strip().strip("<>")] if k.strip().lower() == "warc-concurrent-to" else []
+        length = fields.get("content-length", "")
+        size = int(length) if length.isascii() and length.isdigit() else 0
         while len(buffer) < end + 4 + size and more():
             pass
-        yield fields, bytes(buffer[end + 4 : end + 4 + size])
+        yield fields, links, bytes(buffer[end + 4 : end + 4 + size]), len(buffer) >= end + 4 + size
         del buffer[: end + 4 + size]
 
 
-_RECORD = "record_id string, record_type string, concurrent_to string, target_uri string, date string, payload_digest string, payload_bytes long, computed_digest string, info map<string,string>"
+_RECORD = "record_id string, record_type string, concurrent_to string, target_uri string, date string, payload_digest string, payload_bytes long, computed_digest string, concurrent array<string>, complete boolean, info map<string,string>"
 
 
 def records(files: DataFrame, payload: bool = False) -> DataFrame:
@@ -151,7 +158,7 @@ def records(files: DataFrame, payload: bool = False) -> DataFrame:
     payload is what follows the HTTP header in responses and requests, and the whole block elsewhere; computed_digest
     and payload_bytes are of that.
     """
-    kinds = [("record_id", pa.string()), ("record_type", pa.string()), ("concurrent_to", pa.string()), ("target_uri", pa.string()), ("date", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("computed_digest", pa.string()), ("info", pa.map_(pa.string(), pa.string()))]
+    kinds = [("record_id", pa.string()), ("record_type", pa.string()), ("concurrent_to", pa.string()), ("target_uri", pa.string()), ("date", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("computed_digest", pa.string()), ("concurrent", pa.list_(pa.string())), ("complete", pa.bool_()), ("info", pa.map_(pa.string(), pa.string()))]
     schema = pa.schema(kinds + [("payload", pa.binary())] * payload)
 
     def run(batches):
@@ -160,10 +167,10 @@ def records(files: DataFrame, payload: bool = False) -> DataFrame:
                 fs, base = open_fs(f["folder"])
                 held, size = [], 0
                 with fs.open_input_stream(f"{base}/{f['name']}", compression=None) as stream:
-                    for h, block in parse(stream):
+                    for h, links, block, whole in parse(stream):
                         body = block.partition(b"\r\n\r\n")[2] if h.get("content-type", "").startswith("application/http") else block
                         info = [tuple(y.strip() for y in x.split(":", 1)) for x in body.decode("utf-8", "replace").splitlines() if ":" in x] if h.get("content-type") == "application/warc-fields" else []
-                        row = {"record_id": h.get("warc-record-id", "").strip("<>"), "record_type": h.get("warc-type"), "concurrent_to": h["warc-concurrent-to"].strip("<>") if "warc-concurrent-to" in h else None, "target_uri": h.get("warc-target-uri"), "date": h.get("warc-date"), "payload_digest": h.get("warc-payload-digest", "").removeprefix("sha1:") or None, "payload_bytes": len(body), "computed_digest": base64.b32encode(hashlib.sha1(body).digest()).decode(), "info": info}
+                        row = {"record_id": h.get("warc-record-id", "").strip("<>"), "record_type": h.get("warc-type"), "concurrent_to": links[0] if links else None, "target_uri": h.get("warc-target-uri"), "date": h.get("warc-date"), "payload_digest": h.get("warc-payload-digest", "").removeprefix("sha1:") or None, "payload_bytes": len(body), "computed_digest": base64.b32encode(hashlib.sha1(body).digest()).decode(), "concurrent": links, "complete": whole, "info": info}
                         held.append(row | {"payload": body} if payload else row)
                         size += len(body) if payload else 300
                         if size > 4 << 20:
@@ -177,13 +184,28 @@ def records(files: DataFrame, payload: bool = False) -> DataFrame:
 
 
 def assemble(recs: DataFrame) -> DataFrame:
-    """One nested row per capture: capture_id and structs request, response (a response or revisit), metadata.
+    """One nested row per capture: capture_id, structs request and response (a response or revisit), metadata (an array of
+    structs) and others (an array: further requests and responses, and records of other types that are linked).
 
-    A record belongs to the capture that it is concurrent to, or else to its own. The aggregate keeps one struct a kind
-    (of several, that with the smallest record_id), so a capture never grows beyond three records.
+    Where every link leads to a response, as in archives that write() makes, its record_id is the capture_id and no more is
+    needed. Otherwise captures are the connected components of all links, named after their smallest record_id. A capture's
+    arrays hold its own records only. recs is written once, as it is read more than once.
     """
-    body = F.struct(*[recs[c] for c in recs.columns if c != "info"], recs["info"])
-    kind = F.when(F.col("record_type").isin("response", "revisit"), F.lit("response")).otherwise(F.col("record_type"))
-    df = recs.where(F.col("record_type").isin("request", "response", "revisit", "metadata")).select(F.coalesce("concurrent_to", "record_id").alias("capture_id"), "record_id", kind.alias("kind"), body.alias("r"))
-    pick = lambda k: F.min_by(F.when(F.col("kind") == k, F.col("r")), F.when(F.col("kind") == k, F.col("record_id"))).alias(k)
-    return df.groupBy("capture_id").agg(pick("request"), pick("response"), pick("metadata"))
+    recs = materialise(recs.where("record_type <> 'warcinfo'"))
+    whole = F.col("record_type").isin("response", "revisit")
+    links = recs.select(F.col("record_id").alias("u"), F.explode("concurrent").alias("v"), (whole | (F.size("concurrent") > 1)).alias("odd"))
+    hubs = recs.where(whole).select(F.col("record_id").alias("v")).distinct()
+    if links.where("odd").limit(1).count() or links.join(hubs, "v", "left_anti").limit(1).count():
+        named = components(links.select("u", "v")).select(F.col("node").alias("record_id"), F.col("component").alias("capture_id"))
+        df = recs.join(named, "record_id", "left").withColumn("capture_id", F.coalesce("capture_id", "record_id"))
+    else:
+        df = recs.withColumn("capture_id", F.coalesce("concurrent_to", "record_id"))
+    r = F.struct("record_id", *[c for c in recs.columns if c not in ("record_id", "info")], "info")
+    kind = F.when(whole, F.lit("response")).when(F.col("record_type").isin("request", "metadata"), F.col("record_type")).otherwise(F.lit("other"))
+    # maps cannot be ordered, so arrays are ordered by record_id
+    by_id = lambda c: F.array_sort(c, lambda x, y: F.when(x["record_id"] < y["record_id"], -1).when(x["record_id"] > y["record_id"], 1).otherwise(0))
+    all_of = lambda k: by_id(F.collect_list(F.when(F.col("kind") == k, F.col("r"))))
+    df = df.select("capture_id", kind.alias("kind"), r.alias("r")).groupBy("capture_id").agg(*[all_of(k).alias(k) for k in ("request", "response", "metadata", "other")])
+    first = lambda c: F.try_element_at(c, F.lit(1))
+    rest = F.concat(F.slice("request", 2, F.greatest(F.size("request"), F.lit(1))), F.slice("response", 2, F.greatest(F.size("response"), F.lit(1))), F.col("other"))
+    return df.select("capture_id", first("request").alias("request"), first("response").alias("response"), "metadata", rest.alias("others"))
