@@ -12,7 +12,7 @@ sorted by turn and streamed, so memory holds one turn at a time however long a c
 conversation needs its turns in order, so one conversation's turns pass through one task (as a stream).
 
 Defined cases: null text is empty; a null role is the empty role; null conv_ids are one conversation; equal turns are
-ordered by role, then text; an empty table gives no rows; parts of unknown type are kept as documents of one page.
+ordered by role, then text (content: its JSON); columns other than these are ignored, whatever their names; an empty table gives no rows; parts of unknown type are kept as documents of one page.
 """
 
 from __future__ import annotations
@@ -90,13 +90,10 @@ def format_turns(turns: DataFrame) -> DataFrame:
 
     turns has conv_id, turn, role and text, or content (PARTS) instead of text.
     """
-    if "content" in turns.columns:
-        body = F.col("content").cast(PARTS).alias("content")
-    else:
-        body = F.expr("array(named_struct('type', 'text', 'text', coalesce(text, ''), 'ref', cast(null as string), 'units', 1))").alias("content")
+    parts = "content" in turns.columns
+    body = F.col("content").cast(PARTS).alias("content") if parts else F.coalesce("text", F.lit("")).alias("content")
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), body)
-    rows = rows.withColumn("__tie", F.to_json("content"))
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "__tie").drop("__tie")
+    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", F.to_json("content") if parts else F.col("content"))
 
     def run(batches):
         last, seq, slot = object(), 0, 0
@@ -106,7 +103,7 @@ def format_turns(turns: DataFrame) -> DataFrame:
                 if r["conv_id"] != last:
                     last, seq, slot = r["conv_id"], 0, 0
                 v = Visitor(slot)
-                for part in r["content"] or ():
+                for part in (r["content"] or ()) if parts else ({"type": "text", "text": r["content"]},):
                     v.visit(part or {"type": "text"})
                 body = "".join(v.out)
                 segment, at = segment_of(r["role"], body)
