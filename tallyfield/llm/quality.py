@@ -9,7 +9,8 @@ features are made by Spark and written once; each FTRL pass streams them through
 the model. The model has a fixed size (2**bits weights), so its broadcast is bounded. Scoring covers every whole text and needs no shuffle.
 
 Defined cases: a null text counts as empty; an empty text gets the bias's score; a null label is no label; of
-several labels of a doc_id the largest holds; with no labelled row at all every score is 0.5.
+several labels of a doc_id the largest holds; with no labelled row at all every score is 0.5; rows that repeat are
+scored each; columns of documents that are named score, held_out or predicted give way to the classifier's.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from .common import gram_hashes, materialise, slices, text_buffer, tidy, token_h
 BITS = 18
 MAX_ROWS = 12_000
 PASSES = 3
+#: Columns that the classifier gives.
+GIVEN = ("score", "held_out", "predicted")
 #: Bytes of text whose features are made at once.
 SLICE = 2 << 20
 #: The hash of a token followed by itself, whichever it is.
@@ -108,7 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", train_if=N
 def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns keep and text's score (0 to 1) for every document."""
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float64))
-    keep = tuple(dict.fromkeys(keep))
+    keep = tuple(c for c in dict.fromkeys(keep) if c not in GIVEN)
     at_text = keep.index("text") if "text" in keep else len(keep)
     out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", score double"
 

@@ -71,11 +71,11 @@ def test_warc_round_trip_and_revisits(spark):
     for i, _, html in rows:
         first.setdefault(html or "", i)
     for x in got:
-        i = int(x.metadata.info["page-id"])
+        i = int(x.metadata[0].info["page-id"])
         html = next(h for k, _, h in rows if k == i) or ""
         ref = first[html]
         assert x.response.record_type == ("response" if i == ref else "revisit")
-        assert x.metadata.info.get("refers-to-page-id") == (None if i == ref else str(ref))
+        assert x.metadata[0].info.get("refers-to-page-id") == (None if i == ref else str(ref))
         assert x.response.payload_digest == base64.b32encode(hashlib.sha1(html.encode()).digest()).decode()
         assert x.request.concurrent_to == x.response.record_id
         if i == ref:
@@ -83,6 +83,26 @@ def test_warc_round_trip_and_revisits(spark):
     assert warc.assemble(warc.records(warc.write(pages.limit(0)))).count() == 0
 
 
+def test_warc_links_in_any_direction(spark, tmp_path):
+    def member(kind, i, links, block=b"a: b", length=None):
+        head = [b"WARC/1.1", f"WARC-Type: {kind}".encode(), f"WARC-Record-ID: <{i}>".encode()] + [f"WARC-Concurrent-To: <{x}>".encode() for x in links]
+        return b"\r\n".join(head + [b"Content-Type: application/warc-fields", f"Content-Length: {len(block) if length is None else length}".encode()]) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    records = [
+        ("response", "r1", []), ("request", "q1", ["r1"]), ("metadata", "m1", ["q1"]), ("metadata", "m2", ["r1"]),  # a chain, two metadata records
+        ("request", "q2", []), ("response", "r2", ["q2", "m3"]), ("metadata", "m3", []),  # the response names the others, in two lines
+        ("metadata", "m4", []), ("resource", "x1", ["r1"]), ("response", "r3", []),
+    ]
+    half = len(records) // 2
+    (tmp_path / "a.warc").write_bytes(b"".join(member(*x) for x in records[half:]) + member("response", "r4", [], length="odd") + member("response", "r5", [], b"cut", 100))
+    (tmp_path / "b.warc").write_bytes(b"".join(member(*x) for x in records[:half]))
+    files = spark.createDataFrame([(f"file://{tmp_path}", "a.warc"), (f"file://{tmp_path}", "b.warc")], "folder string, name string")
+    got = {frozenset(y.record_id for y in [x.request, x.response, *x.metadata, *x.others] if y): x for x in warc.assemble(warc.records(files)).collect()}
+    assert set(got) == {frozenset(x) for x in (("r1", "q1", "m1", "m2", "x1"), ("q2", "r2", "m3"), ("m4",), ("r3",), ("r4",), ("r5",))}
+    assert [m.record_id for m in got[frozenset(("r1", "q1", "m1", "m2", "x1"))].metadata] == ["m1", "m2"]
+    assert not got[frozenset(("r5",))].response.complete and got[frozenset(("r3",))].response.complete
+
+
 def test_chat_parts_and_reversible_template(spark):
     v = chat.Visitor()
     for part in ({"type": "text", "text": "see <image_0>"}, {"type": "image", "ref": "a.png"}, {"type": "audio", "ref": "b", "units": 3}, {"type": "odd", "ref": "c"}):
@@ -246,6 +266,8 @@ def test_neighbours_recall_ties_and_odd_vectors(spark):
         hit += len({got[q][k + 1][0] for k in range(10)} & set(best.tolist()))
         assert all(abs(d[i] - s) < 1e-12 for i, s in got[q].values())
     assert hit >= 0.9 * 120 and [got[50][k + 1][0] for k in range(10)] == list(range(51, 61))
+    spread = neighbours.search(index.repartition(16), books, index.where("vec_id % 50 = 0")).collect()
+    assert sorted(map(tuple, spread)) == sorted((q, k, *v) for q, ranks in got.items() for k, v in ranks.items())
     few, b = neighbours.build(df.where("vec_id < 4"))
     assert neighbours.search(few, b, few.where("vec_id = 0")).count() == 3
     none, b = neighbours.build(df.limit(0))
@@ -276,6 +298,59 @@ def test_mixing_shares_and_copies(spark):
     assert mixing.plan(docs.limit(0)).count() == 0
 
 
+def test_mix_draws_by_text_and_keeps_columns(spark):
+    rows = [(None, prose(k, 3), "en", "s", 7) for k in range(1000)] + [(1, "same row", "en", "t", 8)] * 2 + [(2, "w " * 20_000, "en", "t", 9)]
+    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "777 as size", "'x' as copies")
+    plan = mixing.plan(docs).where("source = 's'").collect()
+    assert abs(sum(x["size"] * x.copies for x in plan) - plan[0].target) < 0.1 * plan[0].target
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and {(x["size"], x.copies) for x in mixed.collect()} == {(777, "x")}
+
+
+def test_quality_is_plain_ftrl_whatever_the_columns(spark):
+    texts = [(k, prose(k, 40) + (" $$$" * 9 if k % 3 else "")) for k in range(60)] + [(5, prose(5, 40)), (70, "word " * 200_000)]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0), 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    docs = docs_of(spark, texts).selectExpr("*", "'a' as score", "'b' as held_out", "'c' as predicted")
+    got = quality.classify(docs, labels, keep=("doc_id", "score", "held_out", "predicted", "lang"))
+    assert got.columns == ["doc_id", "lang", "score", "held_out", "predicted"] and got.count() == len(texts)
+    few = docs_of(spark, texts).where("doc_id < 20")
+    w = quality.train(few, labels, max_rows=100)
+    ids = [x.doc_id for x in spark.createDataFrame([(i,) for i, _ in texts if i < 20], "doc_id long").selectExpr("doc_id", "xxhash64(doc_id, 7) as h").orderBy("h").collect()]
+    rows = [(i, x) for k, i in enumerate(ids) if i != 5 for j, x in texts if j == i]
+    z, n, one = np.zeros((1 << 18) + 1), np.zeros((1 << 18) + 1), {}
+    two = [x for i, x in texts if i == 5]
+    assert two[0] != two[1]  # rows that repeat an id: either order is one of two
+    for i, x in rows + [(5, x) for x in two]:
+        at, col, value = quality.features(pa.array([x]))
+        one[i, x] = dict(zip(col.tolist(), value.astype("<f4").tolist()))
+    best = None
+    for pair in (two, two[::-1]):
+        z, n = np.zeros((1 << 18) + 1), np.zeros((1 << 18) + 1)
+        for _ in range(quality.PASSES):
+            for i in dict.fromkeys(ids):
+                for x in pair if i == 5 else [x for j, x in texts if j == i]:
+                    f = {**one[i, x], 1 << 18: 1.0}
+                    wt = {c: 0.0 if abs(z[c]) <= 1e-3 else -(z[c] - np.sign(z[c]) * 1e-3) / ((1 + np.sqrt(n[c])) / 0.5 + 1e-3) for c in f}
+                    g = 1 / (1 + np.exp(-sum(wt[c] * v for c, v in f.items()))) - (i % 3 == 0)
+                    for c, v in f.items():
+                        z[c] += g * v - (np.sqrt(n[c] + g * g * v * v) - np.sqrt(n[c])) / 0.5 * wt[c]
+                        n[c] += g * g * v * v
+        plain = np.where(np.abs(z) <= 1e-3, 0.0, -(z - np.sign(z) * 1e-3) / ((1 + np.sqrt(n)) / 0.5 + 1e-3))
+        best = min(best or 9, float(np.abs(plain - w).max()))
+    assert best < 1e-5
+
+
+def test_chat_ties_and_parts_through_spark(spark):
+    rows = [(1, 0, "user", '"a'), (1, 0, "user", "#b"), (1, 0, "user", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as seq", "2 as segment")
+    assert [chat.unescape(chat.parse_segment(x.segment)[1]) for x in chat.format_turns(df).orderBy("seq").collect()] == ["", '"a', "#b"]
+    parts = [(1, 0, "user", [("text", "see", None, None), ("image", None, "a.png", None)]), (1, 1, "assistant", [("audio", None, "b", 3), ("text", "<x>", None, None), None]), (2, 0, None, None)]
+    df = spark.createDataFrame(parts, f"conv_id long, turn long, role string, content {chat.PARTS}")
+    got = {(x.conv_id, x.turn): x for x in chat.format_turns(df).collect()}
+    assert got[1, 0].segment == "<s>[user] see<image_0> [/user]</s>" and got[1, 0].expanded_tokens == 256
+    assert r"<audio_1>\<x\>" in got[1, 1].segment and got[1, 1].attachments[0].ref == "b" and got[2, 0].expanded_tokens == 0
+
+
 def test_decontamination_brute_force(spark):
     items = [(k, prose(500 + k, 20 + 3 * k)) for k in range(30)] + [(90, prose(990, 300)), (91, ""), (92, None)]
     texts = [(k, prose(k, 100) + (" " + items[k][1] if k < 30 and k % 3 == 0 else "") + " " + prose(2000 + k, 100)) for k in range(60)]
