@@ -48,7 +48,7 @@ STAGES = [
     ("token-ID / binary output", write_tokens),
 ]
 
-#: A trained model, MinHash and a tokenizer are not SQL; tests/llm tests the stages by themselves; no test runs the whole pipeline.
+#: A trained model, MinHash and a tokenizer are not SQL; tests/llm/test_pipeline.py holds run() against a brute-force version.
 ORACLE_SQL = None
 
 
