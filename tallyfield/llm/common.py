@@ -30,7 +30,10 @@ _PIECE = 1 << 20
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under the one that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SHARED
+    base, master = spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.master", "")
+    if base is None and not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    base = base or LOCAL_SHARED
     return f"{base.rstrip('/')}/tallyfield-{uuid.uuid4().hex}"
 
 
