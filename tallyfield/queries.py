@@ -77,7 +77,12 @@ def relevance_scores(spark, d):
     return scored(t(spark, d, "documents")).select("doc_id", "score", "category")
 
 
-@query(None)
+STARTS = "(SELECT doc_id, unnest(list_transform(range(1, len(p)), lambda i: list_sum(list_transform(p[1:i], lambda x: length(x))) + (i - 1) * {n})) AS at FROM (SELECT doc_id, string_split(s, '{term}') AS p FROM sig))"
+
+
+@query(f"""WITH {SIGNALS}, a AS {STARTS.format(term="tion of", n=7)}, b AS {STARTS.format(term="the th", n=6)},
+n AS (SELECT DISTINCT a.doc_id FROM a ASOF JOIN b ON a.doc_id = b.doc_id AND a.at >= b.at WHERE a.at - b.at <= 250 UNION SELECT DISTINCT a.doc_id FROM a ASOF JOIN b ON a.doc_id = b.doc_id AND a.at <= b.at WHERE b.at - a.at <= 250)
+SELECT doc_id, doc_id IN (SELECT doc_id FROM n) AS near FROM documents""")
 def near_terms(spark, d):
     return t(spark, d, "documents").select("doc_id", C.cooccurs_within(F.col("text"), "tion of", "the th", 250).alias("near"))
 
@@ -105,7 +110,9 @@ def url_parts(spark, d):
     return t(spark, d, "pages").select("page_id", host.alias("host"), T.path_of(u).alias("path"), T.registrable_domain(host).alias("domain"), T.norm_lang_path(u).alias("lang_free"))
 
 
-@query(r"""SELECT page_id, count(*) AS n_links, count(DISTINCT h) AS n_distinct FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>', 1)) AS h FROM pages) WHERE trim(h) <> '' AND NOT regexp_matches(trim(h), '(?i)^(mailto:|javascript:|tel:|#)') GROUP BY page_id""")
+@query(r"""SELECT page_id, count(*) AS n_links, count(DISTINCT h) AS n_distinct FROM (SELECT page_id, trim(regexp_extract(a, '(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 1)
+    || regexp_extract(a, '(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 2) || regexp_extract(a, '(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 3)) AS h
+  FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s"''>]+)[^>]*>.*?</a>')) AS a FROM pages)) WHERE h <> '' AND NOT regexp_matches(h, '(?i)^(mailto:|javascript:|tel:|#)') GROUP BY page_id""")
 def page_links(spark, d):
     return io.extract_links(t(spark, d, "pages"), keep=("page_id",)).groupBy("page_id").agg(F.count("*").alias("n_links"), F.countDistinct("link").alias("n_distinct"))
 

@@ -87,12 +87,15 @@ def variable_inventory(raw: DataFrame, key: str = "study", column: str = "payloa
     return v.select(key, F.col("v._name").alias("name"), F.col("v.labl").alias("label"), F.col("v.qstn.qstnLit").alias("question"), F.slice(F.transform("v.catgry", lambda c: c["labl"]), 1, most).alias("categories"))
 
 
-LINK = r'(?is)<a\s[^>]*href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'
+#: href in double, single or no quotes, and the text of the link.
+LINK = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
 
 
 def extract_links(pages: DataFrame, url: str = "url", html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """Absolute url and text of every link; mail, script, phone and in-page links are left out."""
-    hits = F.arrays_zip(F.regexp_extract_all(html, F.lit(LINK), 1).alias("href"), F.regexp_extract_all(html, F.lit(LINK), 2).alias("text"))
+    # a group that takes no part is empty, so the three forms join
+    one, two, three, text = (F.regexp_extract_all(html, F.lit(LINK), k) for k in (1, 2, 3, 4))
+    hits = F.arrays_zip(F.zip_with(F.zip_with(one, two, lambda x, y: F.concat(x, y)), three, lambda x, y: F.concat(x, y)).alias("href"), text.alias("text"))
     rows = pages.select(*keep, F.col(url).alias("base"), F.explode(hits).alias("l")).select(*keep, "base", F.trim("l.href").alias("href"), F.trim(F.regexp_replace(F.regexp_replace("l.text", "<[^>]*>", " "), r"\s+", " ")).alias("anchor_text"))
     rows = rows.where(~F.col("href").rlike("(?i)^(mailto:|javascript:|tel:|#)") & (F.col("href") != ""))
     scheme, root = F.regexp_extract("base", "^([a-z]+:)", 1), F.regexp_extract("base", "^([a-z]+://[^/?#]*)", 1)
