@@ -128,7 +128,7 @@ PEOPLE_COLUMNS = [f"{v} AS {k}" for k, v in PEOPLE.items()]
 PERSONS = f"WITH c AS (SELECT {', '.join(PEOPLE_COLUMNS)} FROM customer)"
 
 
-@query(PERSONS + f", r AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY {M('''lower(coalesce(position, ''))''', K.ROLES)} DESC, coalesce(lower(is_member) = 'yes', false) DESC, priority NULLS LAST, id) AS rank_in_place FROM c) SELECT nation, rank_in_place, id FROM r WHERE rank_in_place <= 2")
+@query(PERSONS + f", r AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY {M('''lower(coalesce(position, ''))''', K.ROLES)} DESC, coalesce(lower(is_member) = 'yes', false) DESC, priority NULLS LAST, id)::INT AS rank_in_place FROM c) SELECT nation, rank_in_place, id FROM r WHERE rank_in_place <= 2")
 def primary_contacts(spark, d):
     people = t(spark, d, "customer").selectExpr(*PEOPLE_COLUMNS)
     return K.ranked_contacts(people, "nation", "id").where("rank_in_place <= 2").select("nation", "rank_in_place", "id")
@@ -139,7 +139,7 @@ FIT = """CASE WHEN regexp_matches(p, '(director|head|chief|deputy)') AND regexp_
  + CASE WHEN regexp_matches(p, 'governance|peace|security') THEN 5 ELSE 0 END + CASE WHEN regexp_matches(p, 'information management|data') THEN 5 ELSE 0 END"""
 
 
-@query(PERSONS + f""", f AS (SELECT id, nation, {FIT} AS title_fit FROM (SELECT *, lower(coalesce(position, '')) AS p FROM c) WHERE id % 50 < nation * 2), r AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY title_fit DESC, id) AS rank_in_place, max(title_fit) OVER (PARTITION BY nation) AS best FROM f)
+@query(PERSONS + f""", f AS (SELECT id, nation, {FIT} AS title_fit FROM (SELECT *, lower(coalesce(position, '')) AS p FROM c) WHERE id % 50 < nation * 2), r AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY title_fit DESC, id)::INT AS rank_in_place, max(title_fit) OVER (PARTITION BY nation) AS best FROM f)
 SELECT n_nationkey::INT AS nation, id, title_fit, rank_in_place, coalesce(best, 0) <= 0 AS no_fit FROM nation LEFT JOIN r ON n_nationkey = nation AND rank_in_place <= 3""")
 def suggested_respondents(spark, d):
     people = t(spark, d, "customer").selectExpr(*PEOPLE_COLUMNS).where("id % 50 < nation * 2")
