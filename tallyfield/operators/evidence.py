@@ -83,9 +83,12 @@ def overview(registry: DataFrame, inventory: DataFrame, searches: DataFrame, rec
         F.count("*").alias("n_records"), F.count_if(live).alias("n_candidates"), F.count_if(F.col("category").startswith("A")).alias("n_high"), F.count_if(F.col("category").startswith("D")).alias("n_review"),
         F.count_if(~F.col("got_text")).alias("n_failed"), F.coalesce(F.bool_or("has_office_contact"), F.lit(False)).alias("has_contact"),
     )
-    at = F.row_number().over(Window.partitionBy(place).orderBy(F.col("score").desc(), order))
+    # suppressed records are ranked apart, not filtered: the optimiser takes very long over a filter on a nested rule table
+    at = F.row_number().over(Window.partitionBy(place, "__live").orderBy(F.col("score").desc(), order))
     line = F.format_string("[%s] %s (score %d)", F.substring("category", 1, 1), F.substring("title", 1, 70), "score")
-    top = records.where(live).withColumn("__at", at).where(F.col("__at") <= most).groupBy(place).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__at", line.alias("line")))), lambda x: x["line"]), " | ").alias("top_candidates"))
+    listed = F.collect_list(F.when(F.col("__live"), F.struct("__at", line.alias("line"))))
+    ranked = records.withColumn("__live", live).withColumn("__at", at).where(F.col("__at") <= most)
+    top = ranked.groupBy(place).agg(F.nullif(F.array_join(F.transform(F.sort_array(listed), lambda x: x["line"]), " | "), F.lit("")).alias("top_candidates"))
     df = registry.join(inventory, place, "full")
     for more in (done, counts, top):
         df = df.join(more, place, "left")
