@@ -40,9 +40,12 @@ TERMS = {"core": r"(?:the|les|der|los) (?:of|la|und|de)", "framework": r"tion",
 STRIP = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text), 'mga=\S+', ' ', 'g'), '[A-Za-z_]+[:=]\d{3,}', ' ', 'g'), 'https?://\S+', ' ', 'g'), '[?&][A-Za-z_]+=', ' ', 'g')"
 COUNTS = ", ".join(f"len(regexp_extract_all(s, '{p}'))::INT AS n_{k}" for k, p in TERMS.items())
 SIGNALS = f"sig AS (SELECT *, {COUNTS} FROM (SELECT *, {STRIP} AS s FROM documents))"
+STARTS = "(SELECT doc_id, unnest(list_transform(range(1, len(p)), lambda i: list_sum(list_transform(p[1:i], lambda x: length(x))) + (i - 1) * {n})) AS at FROM (SELECT doc_id, string_split(s, '{term}') AS p FROM sig))"
+NEAR = f"""a AS {STARTS.format(term="tion of", n=7)}, b AS {STARTS.format(term="the th", n=6)},
+n AS (SELECT DISTINCT a.doc_id FROM a ASOF JOIN b ON a.doc_id = b.doc_id AND a.at >= b.at WHERE a.at - b.at <= 250 UNION SELECT DISTINCT a.doc_id FROM a ASOF JOIN b ON a.doc_id = b.doc_id AND a.at <= b.at WHERE b.at - a.at <= 250)"""
 SCORE = """CASE WHEN n_generic > 20 THEN 0 WHEN n_core = 0 AND n_framework = 0 AND n_generic = 0 THEN least(raw, 20)
   WHEN n_core = 0 AND n_framework = 0 THEN least(raw, 30) ELSE least(raw, 100) END::INT"""
-RAW = "n_core + n_framework * 10 + CASE WHEN n_inclusion > 0 THEN 15 ELSE 0 END + CASE WHEN regexp_matches(lower(text[1:200]), 'tion') THEN 25 ELSE 0 END"
+RAW = "n_core + n_framework * 10 + CASE WHEN n_inclusion > 0 THEN 15 ELSE 0 END + CASE WHEN doc_id IN (SELECT doc_id FROM n) THEN 15 ELSE 0 END + CASE WHEN regexp_matches(lower(text[1:200]), 'tion') THEN 25 ELSE 0 END"
 
 
 def scored(docs: DataFrame) -> DataFrame:
@@ -50,7 +53,7 @@ def scored(docs: DataFrame) -> DataFrame:
     s = s.withColumns({f"n_{k}": F.regexp_count("clean", F.lit(p)) for k, p in TERMS.items()})
     excluded = F.col("n_generic") > 20
     title = F.lower(F.substring("text", 1, 200)).rlike("tion")
-    score = P.relevance(F.col("n_core"), F.col("n_framework"), F.col("n_generic"), F.col("n_inclusion") > 0, F.lit(False), title, excluded)
+    score = P.relevance(F.col("n_core"), F.col("n_framework"), F.col("n_generic"), F.col("n_inclusion") > 0, C.near_in(F.col("clean"), "tion of", "the th"), title, excluded)
     s = s.withColumn("score", score)
     return s.withColumn("category", P.category(F.col("n_core"), F.col("n_framework"), F.col("n_generic"), (F.col("n_core") >= 2) & title, excluded))
 
@@ -59,7 +62,7 @@ CATEGORY = """CASE WHEN n_generic > 20 THEN 'E. Suppress' WHEN n_core = 0 AND n_
   WHEN n_core >= 2 AND regexp_matches(lower(text[1:200]), 'tion') THEN 'A. Strong candidate' WHEN n_core > 0 THEN 'D. Manual review needed' ELSE 'C. Evidence lead only' END"""
 
 
-@query(f"""WITH {SIGNALS}, r AS (SELECT *, {RAW} AS raw FROM sig), z AS (SELECT source, lang, {SCORE} AS score, {CATEGORY} AS category FROM r)
+@query(f"""WITH {SIGNALS}, {NEAR}, r AS (SELECT *, {RAW} AS raw FROM sig), z AS (SELECT source, lang, {SCORE} AS score, {CATEGORY} AS category FROM r)
 SELECT source, lang, count(*) AS n, count(*) FILTER (category LIKE 'A%') AS n_strong, max(score) AS best, sum(score)::BIGINT AS total FROM z GROUP BY source, lang""")
 def relevance_rollup(spark, d):
     s = scored(t(spark, d, "documents"))
@@ -72,16 +75,12 @@ def term_counts(spark, d):
     return docs.select("doc_id", *[F.regexp_count("clean", F.lit(p)).alias(f"n_{k}") for k, p in TERMS.items()])
 
 
-@query(f"WITH {SIGNALS}, r AS (SELECT *, {RAW} AS raw FROM sig) SELECT doc_id, {SCORE} AS score, {CATEGORY} AS category FROM r")
+@query(f"WITH {SIGNALS}, {NEAR}, r AS (SELECT *, {RAW} AS raw FROM sig) SELECT doc_id, {SCORE} AS score, {CATEGORY} AS category FROM r")
 def relevance_scores(spark, d):
     return scored(t(spark, d, "documents")).select("doc_id", "score", "category")
 
 
-STARTS = "(SELECT doc_id, unnest(list_transform(range(1, len(p)), lambda i: list_sum(list_transform(p[1:i], lambda x: length(x))) + (i - 1) * {n})) AS at FROM (SELECT doc_id, string_split(s, '{term}') AS p FROM sig))"
-
-
-@query(f"""WITH {SIGNALS}, a AS {STARTS.format(term="tion of", n=7)}, b AS {STARTS.format(term="the th", n=6)},
-n AS (SELECT DISTINCT a.doc_id FROM a ASOF JOIN b ON a.doc_id = b.doc_id AND a.at >= b.at WHERE a.at - b.at <= 250 UNION SELECT DISTINCT a.doc_id FROM a ASOF JOIN b ON a.doc_id = b.doc_id AND a.at <= b.at WHERE b.at - a.at <= 250)
+@query(f"""WITH {SIGNALS}, {NEAR}
 SELECT doc_id, doc_id IN (SELECT doc_id FROM n) AS near FROM documents""")
 def near_terms(spark, d):
     return t(spark, d, "documents").select("doc_id", C.cooccurs_within(F.col("text"), "tion of", "the th", 250).alias("near"))
@@ -235,7 +234,7 @@ def cluster_estimate(spark, d):
     return A.stratified_cluster(li, "x", "l_quantity", "l_linenumber", "l_suppkey").withColumn("est", F.round("est", 6)).withColumn("se", F.round("se", 6))
 
 
-@query(f"WITH {SIGNALS}, r AS (SELECT *, {RAW} AS raw FROM sig), z AS (SELECT doc_id, {SCORE} AS score FROM r), j AS (SELECT quality = 1 AS a, score >= 50 AS b FROM labels JOIN z USING (doc_id)) SELECT count(*) AS n, round(count(*) FILTER (a = b) / count(*)::DOUBLE, 6) AS agreement, round(count(*) FILTER (a AND b) / greatest(count(*) FILTER (b), 1)::DOUBLE, 6) AS precision, round(count(*) FILTER (a AND b) / greatest(count(*) FILTER (a), 1)::DOUBLE, 6) AS recall FROM j")
+@query(f"WITH {SIGNALS}, {NEAR}, r AS (SELECT *, {RAW} AS raw FROM sig), z AS (SELECT doc_id, {SCORE} AS score FROM r), j AS (SELECT quality = 1 AS a, score >= 50 AS b FROM labels JOIN z USING (doc_id)) SELECT count(*) AS n, round(count(*) FILTER (a = b) / count(*)::DOUBLE, 6) AS agreement, round(count(*) FILTER (a AND b) / greatest(count(*) FILTER (b), 1)::DOUBLE, 6) AS precision, round(count(*) FILTER (a AND b) / greatest(count(*) FILTER (a), 1)::DOUBLE, 6) AS recall FROM j")
 def label_agreement(spark, d):
     z = t(spark, d, "labels").join(scored(t(spark, d, "documents")).select("doc_id", "score"), "doc_id")
     return A.agreement(z, F.col("quality") == 1, F.col("score") >= 50).select("n", *[F.round(c, 6).alias(c) for c in ("agreement", "precision", "recall")])

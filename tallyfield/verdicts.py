@@ -11,19 +11,19 @@ from .reviews import TITLE_SQL, titled
 
 
 @query("""WITH reg AS (SELECT s_suppkey AS place, 'd' || s_suppkey || '.org' AS domain, s_nationkey AS priority FROM supplier),
-inv AS (SELECT 'd' || l_suppkey || '.org' AS domain, count(*) AS total_inventory, count(*) FILTER (l_returnflag = 'R') AS keyword_matches FROM lineitem WHERE l_tax = 0.08 AND l_quantity = 49 AND l_linenumber < 4 GROUP BY 1),
-ev AS (SELECT l_suppkey AS place, count(*) AS evidence_rows FROM lineitem WHERE l_discount = 0.1 AND l_quantity = 50 GROUP BY 1),
+inv AS (SELECT 'd' || l_orderkey * 2 || '.org' AS domain, count(*) AS total_inventory, count(*) FILTER (l_returnflag = 'R') AS keyword_matches FROM lineitem GROUP BY 1),
+ev AS (SELECT l_orderkey * 3 AS place, count(*) AS evidence_rows FROM lineitem GROUP BY 1),
 live AS (SELECT 'd' || c_custkey || '.org' AS domain, CASE c_nationkey % 3 WHEN 1 THEN 404 WHEN 2 THEN 200 END AS http_status, CASE WHEN c_nationkey % 3 > 0 THEN CASE WHEN c_custkey % 2 = 0 THEN 'https://d' || c_custkey || '.org/' ELSE 'https://moved.org/' END END AS final_url FROM customer),
 j AS (SELECT place, domain, priority, coalesce(total_inventory, 0) AS total_inventory, keyword_matches, coalesce(evidence_rows, 0) AS evidence_rows FROM reg LEFT JOIN inv USING (domain) LEFT JOIN ev USING (place))
 SELECT j.*, http_status, final_url, CASE WHEN total_inventory = 0 AND http_status IS NULL THEN 'find the current site' WHEN total_inventory = 0 AND NOT contains(final_url, j.domain) THEN 'take the new address'
 WHEN total_inventory = 0 AND http_status >= 400 THEN 'verify the address' WHEN total_inventory = 0 THEN 'look by hand' WHEN keyword_matches = 0 THEN 'no term matched' ELSE 'little survived scoring' END AS suggested_action
 FROM j LEFT JOIN live ON live.domain = j.domain AND total_inventory = 0 WHERE evidence_rows <= 2""")
 def coverage_actions(spark, d):
-    named = lambda c: F.concat(F.lit("d"), F.col(c).cast("string"), F.lit(".org")).alias("domain")
+    named = lambda c: F.concat(F.lit("d"), F.expr(c).cast("string"), F.lit(".org")).alias("domain")
     li, k = t(spark, d, "lineitem"), F.col("c_nationkey") % 3
     registry = t(spark, d, "supplier").select(F.col("s_suppkey").alias("place"), named("s_suppkey"), F.col("s_nationkey").alias("priority"))
-    inventory = li.where("l_tax = 0.08 and l_quantity = 49 and l_linenumber < 4").groupBy(named("l_suppkey")).agg(F.count("*").alias("total_inventory"), F.count_if(F.col("l_returnflag") == "R").alias("keyword_matches"))
-    evidence = li.where("l_discount = 0.1 and l_quantity = 50").select(F.col("l_suppkey").alias("place"))
+    inventory = li.groupBy(named("l_orderkey * 2")).agg(F.count("*").alias("total_inventory"), F.count_if(F.col("l_returnflag") == "R").alias("keyword_matches"))
+    evidence = li.select((F.col("l_orderkey") * 3).alias("place"))
     own = F.concat(F.lit("https://d"), F.col("c_custkey").cast("string"), F.lit(".org/"))
     liveness = t(spark, d, "customer").select(named("c_custkey"), F.when(k == 1, 404).when(k == 2, 200).alias("http_status"), F.when(k > 0, F.when(F.col("c_custkey") % 2 == 0, own).otherwise("https://moved.org/")).alias("final_url"))
     return U.coverage_gaps(registry, inventory, evidence, liveness)
