@@ -1,11 +1,11 @@
-"""The queries op1_ to op10_: each applies its operator to its whole table and returns the digest columns."""
+"""The queries op1_ to op13_: each applies its operator to its whole table and returns the digest columns."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, neighbours, ngram_join, quality, substring_dedup, tokens, urlfilter, warc
+from . import chat, decontaminate, fim, lexical, mixing, neighbours, ngram_join, quality, substring_dedup, tokens, toxicity, urlfilter, warc
 
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
@@ -71,7 +71,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read(tokens.write(_read(spark, sf_dir, "documents")))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda c: F.sha2(c, 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_warc_transactions, op2_chat_format, op3_url_filter, op4_substring_dedup, op5_ngram_jaccard_join, op6_nearest_neighbours, op7_quality_classifier, op8_mix_sources, op9_decontaminate, op10_token_files)
+    for f in (op1_warc_transactions, op2_chat_format, op3_url_filter, op4_substring_dedup, op5_ngram_jaccard_join, op6_nearest_neighbours, op7_quality_classifier, op8_mix_sources, op9_decontaminate, op10_token_files, op11_lexical_search, op12_toxicity, op13_fill_in_middle)
 }
