@@ -11,6 +11,7 @@ from .functions import classify as C
 from .functions import text as T
 from .operators import aggregates as A
 from .operators import joins as J
+from .operators import matching as MT
 from .operators import ranking as R
 from .operators import reports as P
 from .plans.rules import all_matches, first_match, rank_of
@@ -290,13 +291,13 @@ def part_name_matches(spark, d):
 @query("""WITH p AS (SELECT p_partkey AS id, p_brand, p_size, p_type, p_size + 1990 AS y, list_distinct(string_split(p_name, ' ')) AS w FROM part),
 x AS (SELECT c.id AS c_id, e.id AS e_id, c.p_size = e.p_size AS org_ok, (c.p_type = e.p_type)::INT AS acr, len(list_intersect(c.w, e.w)) AS ov, len(c.w) + len(e.w) AS nn, c.y AS cy, e.y AS ey FROM p c JOIN p e ON c.p_brand = e.p_brand AND c.id <> e.id),
 z AS (SELECT *, ov / (nn - ov)::DOUBLE AS jac FROM x), g AS (SELECT *, acr > 0 OR ov >= 3 OR (jac >= 0.5 AND ov >= 2) AS strong FROM z),
-k AS (SELECT *, CASE WHEN org_ok AND strong AND abs(cy - ey) <= 1 THEN 1 WHEN org_ok AND strong AND cy > ey + 1 THEN 2 WHEN NOT org_ok AND strong THEN 3 WHEN org_ok AND NOT strong AND ov = 1 AND jac >= 0.5 THEN 3 WHEN org_ok THEN 4 ELSE 5 END AS cat FROM g),
+k AS (SELECT *, CASE WHEN org_ok AND strong AND abs(cy - ey) <= 1 THEN 1 WHEN org_ok AND strong AND cy > ey + 1 THEN 2 WHEN NOT org_ok AND strong THEN 4 WHEN org_ok AND NOT strong AND ov = 1 AND jac >= 0.5 THEN 4 WHEN org_ok THEN 6 ELSE 7 END AS cat FROM g),
 r AS (SELECT *, cat * 10 - jac * 5 - acr * 3 AS score FROM k), b AS (SELECT *, row_number() OVER (PARTITION BY c_id ORDER BY score, e_id) AS n FROM r)
-SELECT p.id AS c_id, min(e_id) FILTER (n = 1) AS e_id, coalesce(CASE min(cat) FILTER (n = 1) WHEN 1 THEN 'same product' WHEN 2 THEN 'new edition' WHEN 3 THEN 'check - likely same' WHEN 4 THEN 'same org, other product' WHEN 5 THEN 'other producer' END, 'no reference in block') AS category, round(min(score), 6) AS score, string_agg(e_id::VARCHAR, ',' ORDER BY n) FILTER (n <= 3) AS top_ids FROM p LEFT JOIN b ON b.c_id = p.id GROUP BY p.id""")
+SELECT p.id AS c_id, min(e_id) FILTER (n = 1) AS e_id, coalesce(CASE min(cat) FILTER (n = 1) WHEN 1 THEN 'same product' WHEN 2 THEN 'new edition' WHEN 4 THEN 'check - likely same' WHEN 6 THEN 'same org, other product' WHEN 7 THEN 'other producer' END, 'no reference in block') AS category, round(min(score), 6) AS score, string_agg(e_id::VARCHAR, ',' ORDER BY n) FILTER (n <= 3) AS top_ids FROM p LEFT JOIN b ON b.c_id = p.id GROUP BY p.id""")
 def product_matches(spark, d):
     """Every part against all others of its brand; sizes stand for offices, types for product codes."""
     p = t(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("block"), F.array("p_size").alias("org"), F.split("p_name", " ").alias("tokens"), F.array("p_type").alias("codes"), C.product_type(F.col("p_name")).alias("type"), (F.col("p_size") + 1990).alias("y0"), (F.col("p_size") + 1990).alias("y1"))
-    out = J.pair_check(p, p, same=True)
+    out = MT.pair_check(p, p, same=True)
     return out.select("c_id", "e_id", "category", F.round("score", 6).alias("score"), "top_ids")
 
 

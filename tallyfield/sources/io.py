@@ -30,13 +30,6 @@ def union_snapshots(frames: list[DataFrame], key: str = "url", order: str = "sna
     return out.withColumn("__k", F.row_number().over(Window.partitionBy(key).orderBy(*by))).where("__k = 1").drop("__k")
 
 
-def newest_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The rows of the files that were modified last."""
-    df = spark.read.format(fmt).load(path).select("*", F.col("_metadata.file_modification_time").alias("__at"))
-    newest = df.agg(F.max("__at").alias("__newest"))
-    return df.join(F.broadcast(newest), F.col("__at") == F.col("__newest")).drop("__at", "__newest")  # one row
-
-
 def pending(targets: DataFrame, done: DataFrame, key: str | list[str]) -> DataFrame:
     """Targets that the manifest of finished work lacks."""
     return targets.join(done.select(key if isinstance(key, list) else [key]).distinct(), key, "left_anti")

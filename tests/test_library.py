@@ -9,6 +9,7 @@ from tallyfield.functions import classify as C
 from tallyfield.functions import text as T
 from tallyfield.operators import aggregates as A
 from tallyfield.operators import joins as J
+from tallyfield.operators import matching as MT
 from tallyfield.operators import ranking as R
 from tallyfield.operators import reports as P
 from tallyfield.plans.rules import all_matches, first_match, first_match_no, rank_of
@@ -105,7 +106,7 @@ def test_pair_check_categories(spark):
         (12, "X", ["nso"], ["words"], [], "census", 2021, None), (13, "X", ["agency"], ["living"], ["LSMS"], "survey", 2018, None),
         (14, "X", ["other"], ["unique"], [], "survey", 2018, None), (15, "Y", ["nso"], [], [], "survey", 2018, None),
     ], kind)
-    got = {x.c_id: (x.category, x.e_id) for x in J.pair_check(cand, ref).collect()}
+    got = {x.c_id: (x.category, x.e_id) for x in MT.pair_check(cand, ref).collect()}
     assert got == {10: ("same product", 1), 11: ("new edition", 1), 12: ("same product", 2), 13: ("check - likely same", 1), 14: ("check - likely same", 3), 15: ("no reference in block", None)}
 
 

@@ -119,6 +119,7 @@ def test_matching_equals_brute_force(spark, same):
     import random
 
     from tallyfield.operators import joins as J
+    from tallyfield.operators import matching as MT
 
     r = random.Random(5)
     rows = [(k, r.choice("ab"), r.sample(["x", "y", "z", "w", "v"], r.randint(0, 3)), r.sample([1, 2, 3], r.randint(0, 1)), r.sample(["P", "Q"], r.randint(0, 1)), r.choice(["survey", "unknown", "census"]), r.choice([None, 2000, 2005])) for k in range(60)]
@@ -135,7 +136,7 @@ def test_matching_equals_brute_force(spark, same):
                 best = (-n / u, q[0])
         want[p[0]] = best[1] if best else None
     assert {x.id: x.match_id for x in J.best_token_match(a, b, "block", "id", "id", "tokens", same=same).collect()} == want
-    got = {x.c_id: (x.e_id, x.top_ids) for x in J.pair_check(a, b, same=same).collect()}
+    got = {x.c_id: (x.e_id, x.top_ids) for x in MT.pair_check(a, b, same=same).collect()}
 
     def score(p, q):
         ov, u = len(set(p[2]) & set(q[2])), len(set(p[2]) | set(q[2]))
@@ -145,7 +146,7 @@ def test_matching_equals_brute_force(spark, same):
         name = strong or (ov >= 2 and p[5] == q[5] != "unknown")
         unknown = p[6] is None or q[6] is None
         inside, later = not unknown and abs(p[6] - q[6]) <= 1, not unknown and p[6] > q[6] + 1
-        rank = 1 if org and name and ok and (inside or unknown) else 1 if org and p[5] == q[5] == "census" and inside else 2 if org and name and ok and later else 3 if (not org and name and ok) or (org and not strong and ov == 1 and jac >= 0.5 and ok) else 4 if org else 5
+        rank = 1 if org and name and ok and (inside or unknown) else 1 if org and p[5] == q[5] == "census" and inside else 2 if org and name and ok and later else 4 if (not org and name and ok) or (org and not strong and ov == 1 and jac >= 0.5 and ok) else 6 if org else 7
         return (round(rank * 10 - jac * 5 - acr * 3, 9), q[0])
 
     for p in left:
