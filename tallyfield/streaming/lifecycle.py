@@ -32,11 +32,6 @@ def deduplicated(events: DataFrame, key: str, at: str, delay: str) -> DataFrame:
     return events.withWatermark(at, delay).dropDuplicatesWithinWatermark([key])
 
 
-def folded_stream(events: DataFrame, key: str, kind: str = "kind", at: str = "ts") -> DataFrame:
-    """The fold as a streaming aggregate; write it in update or complete mode."""
-    return fold(events, key, kind, at)
-
-
 def funnel_by_window(events: DataFrame, kind: str, at: str, width: str, slide: str | None = None, delay: str | None = None) -> DataFrame:
     """Counts of each kind per tumbling or sliding window; delay bounds the state of a stream."""
     df = events.withWatermark(at, delay) if delay else events
@@ -48,15 +43,3 @@ def sessions(events: DataFrame, key: str, at: str, gap: str, delay: str | None =
     """Sessions per key: begin, end and number of events; a session ends `gap` after its last event."""
     df = events.withWatermark(at, delay) if delay else events
     return df.groupBy(F.session_window(at, gap).alias("w"), key).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
-
-
-def new_records(stream: DataFrame, seen: DataFrame, key: str, path: str, checkpoint: str):
-    """Starts a query that appends records of keys not seen before, batch by batch."""
-
-    def put(batch: DataFrame, _: int) -> None:
-        # an empty append makes the folder, with its columns, before the first read
-        batch.limit(0).write.mode("append").parquet(path)
-        known = seen.select(key).unionByName(batch.sparkSession.read.parquet(path).select(key))
-        batch.dropDuplicates([key]).join(known.distinct(), key, "left_anti").write.mode("append").parquet(path)
-
-    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -165,20 +165,6 @@ def test_lifecycle_in_parts_equals_whole(spark):
     assert sorted(map(str, parts.select(cols).collect())) == sorted(map(str, whole.select(cols).collect()))
 
 
-def test_lifecycle_stream_equals_batch(spark, tmp_path):
-    df = spark.createDataFrame(EVENTS, "event_id long, key string, kind string, d string").select("event_id", "key", "kind", F.col("d").cast("timestamp").alias("ts"))
-    df.repartition(3).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    q = L.folded_stream(stream, "key").writeStream.outputMode("complete").format("memory").queryName("folded").trigger(availableNow=True).start()
-    assert q.awaitTermination(120)
-    cols = sorted(L.fold(df, "key").columns)
-    assert sorted(map(str, spark.table("folded").select(cols).collect())) == sorted(map(str, L.fold(df, "key").select(cols).collect()))
-    seen = spark.createDataFrame([(1,)], "event_id long")
-    q = L.new_records(stream, seen, "event_id", str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert q.awaitTermination(120)
-    assert sorted(x.event_id for x in spark.read.parquet(str(tmp_path / "out")).collect()) == [2, 3, 4, 5, 6]
-
-
 def test_entry_runs(spark):
     import __spark_entry__
 
