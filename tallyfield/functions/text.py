@@ -178,11 +178,6 @@ def emails(text: Column, spam: str = r"example\.|noreply|no-reply|sentry|wixpres
     return found if most is None else F.slice(found, 1, most)
 
 
-def contexts(text: Column, pattern: str, around: int = 60, most: int = 5) -> Column:
-    """Up to `most` passages around matches; a passage ends where the next begins."""
-    return F.array_join(F.slice(F.transform(F.regexp_extract_all(text, F.lit("(?is)(.{0,%d}(?:%s).{0,%d})" % (around, pattern, around)), 1), squish), 1, most), " | ")
-
-
 def chunk_text(text: Column, size: int) -> Column:
     """Pieces of `size` characters, in order."""
     return F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.length(text) / size).cast("int") - 1, F.lit(0))), lambda i: F.substring(text, i * size + 1, F.lit(size)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,12 +50,41 @@ def hash_order(seed: int, id_: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_).cast("string")))
 
 
-def stratified_sample(df: DataFrame, strata: list[tuple[str, Column, int]], id_: str, seed: int = 1, seen: DataFrame | None = None) -> DataFrame:
-    """Up to a quota of rows of each (name, condition, quota), in a fixed random order; a row belongs to the first
-    stratum whose condition it meets, and ids already seen are left out."""
+#: Shares into which a stratum is dealt before its first rows are taken.
+SALTS = 64
+
+
+def stratified_sample(df: DataFrame, strata: list[tuple[str, Column, int]], id_: str, seed: int = 1, seen: DataFrame | None = None, total: int | None = None, fill: Sequence[tuple[str, Column]] = ()) -> DataFrame:
+    """df's sampled rows with stratum and position, in a fixed random order: up to a quota of rows of each (name, condition, quota).
+
+    Strata choose one after the other: a row belongs to the first stratum that takes it, and what one leaves is open to those after it.
+    Ids already seen are left out. total: if quotas leave the sample short of it, the (name, condition) pairs of fill top it up, in
+    order. position is a shuffle of the whole sample, from 1. Ids should be distinct.
+
+    As no more rows than all quotas can be taken before a stratum chooses, its first so many rows by hash are all it needs: they are taken in
+    each of SALTS shares, then over the shares, so no task holds a stratum; what is left (at most strata x quotas rows) is settled in one task.
+    """
+    plan = [(name, condition, quota) for name, condition, quota in strata] + [(name, condition, None) for name, condition in (fill if total else ())]
+    most = max(sum(q for _, _, q in strata), total or 0)
     pool = df.join(seen.select(id_).distinct(), id_, "left_anti") if seen is not None else df
-    name, quota = F.when(F.lit(False), F.lit("")), F.when(F.lit(False), F.lit(0))
-    for label, condition, n in strata:
-        name, quota = name.when(condition, F.lit(label)), quota.when(condition, F.lit(n))
-    pool = pool.withColumn("stratum", name).withColumn("__quota", quota).where("stratum is not null")
-    return pool.withColumn("__k", F.row_number().over(Window.partitionBy("stratum").orderBy(hash_order(seed, id_), id_))).where("__k <= __quota").drop("__k", "__quota")
+    fits = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, (_, c, _) in enumerate(plan)]))
+    rows = pool.select(F.col(id_).alias("id"), hash_order(seed, id_).alias("u"), F.explode(fits).alias("s"))
+    for by in (["s", F.pmod(F.xxhash64("id"), F.lit(SALTS))], ["s"]):
+        rows = rows.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy("u", "id"))).where(F.col("k") <= most).drop("k")
+    names, quotas = [name for name, _, _ in plan], [q for _, _, q in plan]
+    kind = dict(rows.dtypes)["id"]
+
+    def choose(table: pa.Table) -> pa.Table:
+        taken: dict = {}
+        waiting: list = [[] for _ in names]
+        for s, u, i in sorted(zip(table["s"].to_pylist(), table["u"].to_pylist(), table["id"].to_pylist())):
+            waiting[s].append(i)
+        for s, ids in enumerate(waiting):
+            open_ids = [i for i in ids if i not in taken]
+            for i in open_ids[: quotas[s] if quotas[s] is not None else max(0, total - len(taken))]:
+                taken[i] = names[s]
+        return pa.table({"id": pa.array(list(taken), table["id"].type), "stratum": pa.array(list(taken.values()), pa.string())})
+
+    chosen = rows.groupBy().applyInArrow(choose, f"id {kind}, stratum string")
+    chosen = chosen.withColumn("position", F.row_number().over(Window.orderBy(F.md5(F.concat_ws(":", F.lit(f"{seed} shuffled"), F.col("id").cast("string"))), "id")))
+    return df.join(F.broadcast(chosen), df[id_] == chosen["id"]).drop("id") if id_ != "id" else df.join(F.broadcast(chosen), "id")  # at most total rows

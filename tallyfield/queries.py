@@ -196,11 +196,20 @@ def order_refs(spark, d):
     return R.numbered(t(spark, d, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], "%d_%02d", "ref").select("o_orderkey", "ref")
 
 
-@query("SELECT o_orderkey, stratum FROM (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5('1:' || o_orderkey), o_orderkey) AS k FROM (SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' WHEN o_totalprice > 200000 THEN 'large' WHEN o_orderstatus = 'O' THEN 'open' END AS stratum FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')) WHERE stratum IS NOT NULL) WHERE k <= CASE stratum WHEN 'urgent' THEN 20 WHEN 'large' THEN 30 ELSE 10 END")
+SAMPLED = """, {name} AS (SELECT o_orderkey, '{label}' AS stratum FROM (SELECT * FROM pool WHERE {where} AND o_orderkey NOT IN (SELECT o_orderkey FROM {before}) ORDER BY md5('1:' || o_orderkey), o_orderkey LIMIT {quota}))
+, {name}_all AS (SELECT * FROM {before} UNION ALL SELECT * FROM {name})"""
+REVIEW = (("urgent", "urgent and large", "o_orderpriority = '1-URGENT' AND o_totalprice > 400000", 20), ("large", "large", "o_totalprice > 300000", 30), ("rare", "rare", "o_totalprice < 0", 10), ("opened", "open", "o_orderstatus = 'O' AND o_totalprice > 300000", 10))
+
+
+@query("WITH pool AS (SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')), none_all AS (SELECT 0 AS o_orderkey, '' AS stratum WHERE false)"
+       + "".join(SAMPLED.format(name=n, label=label, where=w, quota=q, before=f"{b}_all") for (n, label, w, q), b in zip(REVIEW, ("none", "urgent", "large", "rare")))
+       + SAMPLED.format(name="more", label="top-up: large", where="o_totalprice > 200000", quota="(SELECT 75 - count(*) FROM opened_all)", before="opened_all")
+       + " SELECT o_orderkey, stratum, row_number() OVER (ORDER BY md5('1 shuffled:' || o_orderkey), o_orderkey)::INT AS position FROM more_all")
 def review_sample(spark, d):
-    strata = [("urgent", F.col("o_orderpriority") == "1-URGENT", 20), ("large", F.col("o_totalprice") > 200000, 30), ("open", F.col("o_orderstatus") == "O", 10)]
+    """Orders for review by quotas, topped up where a stratum is short, and shuffled."""
+    strata = [(label, F.expr(w), q) for _, label, w, q in REVIEW]
     seen = t(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
-    return R.stratified_sample(t(spark, d, "orders"), strata, "o_orderkey", 1, seen).select("o_orderkey", "stratum")
+    return R.stratified_sample(t(spark, d, "orders"), strata, "o_orderkey", 1, seen, 75, [("top-up: large", F.expr("o_totalprice > 200000"))]).select("o_orderkey", "stratum", "position")
 
 
 @query("SELECT o_custkey, min(o_orderkey) AS o_orderkey, string_agg(DISTINCT o_orderpriority, '; ' ORDER BY o_orderpriority) AS o_orderpriority FROM orders GROUP BY o_custkey")

@@ -111,14 +111,6 @@ def read_jsonstat_dims(raw: DataFrame, column: str = "payload", aggregates: tupl
     return rows.select(F.col("g.key").alias("geo"), F.col("g.value").alias("label"), "period").where(F.col("geo").rlike("^[A-Z]{2}$") & ~F.col("geo").isin(*aggregates))
 
 
-def extract_html_tables(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = (), least_rows: int = 2, least_cells: int = 2) -> DataFrame:
-    """table_no, row_no (both from 0) and cells of tables with enough rows whose widest row has enough cells."""
-    tables = pages.select(*keep, F.posexplode(F.regexp_extract_all(html, F.lit(r"(?is)<table\b[^>]*>(.*?)</table>"), 1)).alias("table_no", "__t"))
-    tables = tables.withColumn("__rows", F.transform(F.regexp_extract_all("__t", F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1), lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), 1), lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", " "), r"\s+", " ")))))
-    wide = F.coalesce(F.array_max(F.transform("__rows", lambda r: F.size(r))), F.lit(0))
-    return tables.where((F.size("__rows") >= least_rows) & (wide >= least_cells)).select(*keep, "table_no", F.posexplode("__rows").alias("row_no", "cells"))
-
-
 def read_nested_reports(raw: DataFrame, column: str = "payload") -> DataFrame:
     """title, url, date and the joined names of sources and countries of report search answers."""
     schema = "data array<struct<fields:struct<title:string,url:string,date:struct<created:string>,source:array<struct<name:string>>,country:array<struct<name:string>>>>>"

@@ -106,9 +106,6 @@ def test_readers(spark):
     stat = json.dumps({"dimension": {"geo": {"category": {"label": {"DE": "Germany", "EU27_2020": "EU", "EA": "Area", "FR": "France"}}}, "time": {"category": {"label": {"2019": "2019", "2021": "2021"}}}}})
     df = spark.createDataFrame([(stat,), ("broken",), (None,)], "payload string")
     assert sorted(tuple(x) for x in io.read_jsonstat_dims(df).collect()) == [("DE", "Germany", "2021"), ("FR", "France", "2021")]
-    html = "<table><tr><th>a</th><th>b</th></tr><tr><td>1 <b>x</b></td><td>2</td></tr></table><table><tr><td>lone</td></tr></table>"
-    got = [(x.table_no, x.row_no, x.cells) for x in io.extract_html_tables(spark.createDataFrame([(html,), (None,), ("",)], "html string")).orderBy("table_no", "row_no").collect()]
-    assert got == [(0, 0, ["a", "b"]), (0, 1, ["1 x", "2"])]
     rep = json.dumps({"data": [{"fields": {"title": "T", "url": "u", "date": {"created": "2024-02-03T00:00:00"}, "source": [{"name": "A"}, {"name": "B"}]}}]})
     x = io.read_nested_reports(spark.createDataFrame([(rep,)], "payload string")).first()
     assert (x.title, str(x.created), x.sources, x.countries) == ("T", "2024-02-03", "A; B", "")
