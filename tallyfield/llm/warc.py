@@ -187,19 +187,28 @@ def assemble(recs: DataFrame) -> DataFrame:
     """One nested row per capture: capture_id, structs request and response (a response or revisit), metadata (an array of
     structs) and others (an array: further requests and responses, and records of other types that are linked).
 
-    Where every link leads to a response, as in archives that write() makes, its record_id is the capture_id and no more is
-    needed. Otherwise captures are the connected components of all links, named after their smallest record_id. A capture's
-    arrays hold its own records only. recs is written once, as it is read more than once.
+    A capture is named after its response (the smallest record_id of its responses and revisits; of its records, if it has none). A request
+    or metadata record with one link to a response belongs to it at once. Other links (of responses, several of one record, to
+    records of other types or to none) join what they connect, by connected components over such links only. Records that
+    repeat are kept each. A capture's records make one row, so they should fit a task. recs is written once, as it is read more than once.
     """
     recs = materialise(recs.where("record_type <> 'warcinfo'"))
     whole = F.col("record_type").isin("response", "revisit")
-    links = recs.select(F.col("record_id").alias("u"), F.explode("concurrent").alias("v"), (whole | (F.size("concurrent") > 1)).alias("odd"))
+    plain = ~whole & (F.size("concurrent") == 1)
+    links = recs.select(F.col("record_id").alias("u"), F.explode("concurrent").alias("v"), plain.alias("plain"))
     hubs = recs.where(whole).select(F.col("record_id").alias("v")).distinct()
-    if links.where("odd").limit(1).count() or links.join(hubs, "v", "left_anti").limit(1).count():
-        named = components(links.select("u", "v")).select(F.col("node").alias("record_id"), F.col("component").alias("capture_id"))
-        df = recs.join(named, "record_id", "left").withColumn("capture_id", F.coalesce("capture_id", "record_id"))
+    odd = materialise(links.where("not plain").select("u", "v").unionByName(links.where("plain").join(hubs, "v", "left_anti").select("u", "v")))
+    rooted = recs.withColumn("root", F.when(plain, F.col("concurrent")[0]).otherwise(F.col("record_id")))
+    if odd.limit(1).count():
+        loose = odd.select(F.col("u").alias("loose")).distinct()
+        rooted = rooted.join(loose, F.col("record_id") == F.col("loose"), "left").withColumn("root", F.when(F.col("loose").isNull(), F.col("root")).otherwise(F.col("record_id"))).drop("loose")
+        ends = rooted.select(F.col("record_id").alias("v"), F.col("root").alias("end")).distinct()
+        joined = materialise(components(odd.join(ends, "v", "left").select("u", F.coalesce("end", "v").alias("v"))).select(F.col("node").alias("root"), "component"))
+        names = rooted.join(joined, "root").groupBy("component").agg(F.coalesce(F.min(F.when(whole, F.col("record_id"))), F.min("record_id")).alias("name"))
+        rooted = rooted.join(joined.join(names, "component").select("root", "name"), "root", "left")
+        df = rooted.withColumn("capture_id", F.coalesce("name", "root"))
     else:
-        df = recs.withColumn("capture_id", F.coalesce("concurrent_to", "record_id"))
+        df = rooted.withColumn("capture_id", F.col("root"))
     r = F.struct("record_id", *[c for c in recs.columns if c not in ("record_id", "info")], "info")
     kind = F.when(whole, F.lit("response")).when(F.col("record_type").isin("request", "metadata"), F.col("record_type")).otherwise(F.lit("other"))
     # maps cannot be ordered, so arrays are ordered by record_id
