@@ -31,9 +31,30 @@ BOOKS, WORDS, BEAM, SAMPLE, ROUNDS = 16, 128, 4, 8192, 3
 K, RERANK, SHARE, QUERY_BLOCK = 10, 200, 0.02, 8192
 
 
+def _scale(x: np.ndarray) -> float:
+    """The power of two by which the largest component comes to between 1/2 and 1; codes and orders of distances do not change by it."""
+    most = float(np.abs(x).max(initial=0))
+    return float(np.ldexp(1.0, int(np.clip(-np.frexp(most)[1], -1000, 1000)))) if most else 1.0
+
+
+def euclid(d: np.ndarray) -> np.ndarray:
+    """Lengths of the rows of d; where squares overflow or vanish, of the row scaled by its largest component."""
+    with np.errstate(over="ignore", under="ignore"):
+        out = np.sqrt((d**2).sum(1))
+    odd = np.flatnonzero(~np.isfinite(out) | (out < 1e-140))
+    if len(odd):
+        most = np.abs(d[odd]).max(1, initial=0)
+        unit = np.where(most > 0, most, 1)
+        out[odd] = unit * np.sqrt(((d[odd] / unit[:, None]) ** 2).sum(1))
+    return out
+
+
 def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> np.ndarray:
     """Codes (uint8) of the rows of x: the best of `beam` partial sums is kept after each codebook."""
-    x, books = x.astype(np.float32), books.astype(np.float32)
+    s = _scale(books)
+    x = x * s
+    kind = np.float32 if np.abs(x).max(initial=0) < 1e15 else np.float64  # squares of outliers must not overflow
+    x, books = x.astype(kind), (books * s).astype(kind)
     n, (m, k, d) = len(x), books.shape
     out = np.empty((n, m), np.uint8)
     norms = (books**2).sum(2)
@@ -98,8 +119,8 @@ def build(vectors: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, np.ndarr
     rows = usable(vectors)
 
     def fit_one(table: pa.Table) -> pa.Table:
-        table = table.sort_by("vec_id")
-        return pa.table({"books": pa.array([fit(_matrix(table["embedding"].combine_chunks())).astype("<f8").tobytes()], pa.binary())})
+        x = _matrix(table.sort_by("vec_id")["embedding"].combine_chunks())
+        return pa.table({"books": pa.array([(fit(x * _scale(x)) / _scale(x)).astype("<f8").tobytes()], pa.binary())})
 
     taken = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
     got = taken.groupBy().applyInArrow(fit_one, "books binary").collect()
@@ -112,7 +133,7 @@ def build(vectors: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, np.ndarr
         for batch in batches:
             x = _matrix(batch.column("embedding"))
             codes = encode(x, shared.value)
-            norm = (decode(codes, shared.value) ** 2).sum(1)
+            norm = (decode(codes, shared.value * _scale(shared.value)) ** 2).sum(1)  # in the scale of the codebooks
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm)], ["vec_id", "embedding", "codes", "norm"])
 
     return materialise(rows.mapInArrow(tidy(run), "vec_id long, embedding array<double>, codes binary, norm double")), books
@@ -127,7 +148,9 @@ def _distances(tables: np.ndarray, codes: np.ndarray, norm: np.ndarray) -> np.nd
 
 
 def _tables(q: np.ndarray, books: np.ndarray) -> np.ndarray:
-    return np.einsum("qd,mkd->qmk", q, books).astype(np.float32)
+    s = _scale(books)
+    with np.errstate(over="ignore", invalid="ignore"):
+        return np.nan_to_num(np.clip(np.einsum("qd,mkd->qmk", q * s, books * s), -1e30, 1e30)).astype(np.float32)
 
 
 def _codes(column) -> np.ndarray:
@@ -181,7 +204,7 @@ def _searched(before: DataFrame | None, index: DataFrame, books: np.ndarray, ask
                     dist = _distances(tables[at : at + 256], codes, norm)
                     for i in range(len(dist)):
                         near = np.flatnonzero((dist[i] <= radius[at + i]) & (vec != ids[at + i]))
-                        s = np.sqrt(((x[near] - q[at + i]) ** 2).sum(1))
+                        s = euclid(x[near] - q[at + i])
                         s, v = np.concatenate([best[at + i][0], s]), np.concatenate([best[at + i][1], vec[near]])
                         top = np.lexsort((v, s))[:k]
                         best[at + i] = (s[top], v[top])
