@@ -9,7 +9,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Where tables go when the session names no spark.checkpoint.dir (tests on one machine).
@@ -73,9 +73,12 @@ def tidy(run):
     return kept
 
 
-def with_columns_of(docs: DataFrame, *names: str) -> list[Column]:
-    """The named columns only, so that extra ones neither clash nor travel."""
-    return [docs[n] for n in names]
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def mix64(h: np.ndarray) -> np.ndarray:

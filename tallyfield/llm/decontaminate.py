@@ -14,7 +14,7 @@ The index goes to every task in shards of at most SHARD segments (some MB); seve
 the texts, each adding to the hits so far. No text is shuffled.
 
 Defined cases: null and empty texts hit nothing; items without words are left out; repeated items each count; an
-empty benchmark leaves all texts without hits.
+empty benchmark leaves all texts without hits; rows that repeat are scanned each; other columns of docs stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _CLASSES, gram_hashes, slices, text_buffer, tidy, token_hashes
+from .common import _CLASSES, gram_hashes, slices, text_buffer, tidy, token_hashes, unused
 
 K1, B = 1.2, 0.75
 SEGMENT, STRIDE, SHARD, BLOCK = 64, 64, 2048, 4
@@ -181,9 +181,9 @@ def indexes(items: DataFrame, shard: int = SHARD):
         yield Index(segments, held, df, n, total / n)
 
 
-def scan(docs: DataFrame, items: DataFrame, least: float = SCORE, overlap: float = OVERLAP, shard: int = SHARD) -> DataFrame:
-    """docs with a column `__hits`: the verified items of each text."""
-    df = docs.select("*", F.expr(f"cast(array() as {HITS})").alias("__hits"))
+def scan(docs: DataFrame, items: DataFrame, least: float = SCORE, overlap: float = OVERLAP, shard: int = SHARD, into: str = "__hits") -> DataFrame:
+    """docs with a column, named by into, of the verified items of each text."""
+    df = docs.select("*", F.expr(f"cast(array() as {HITS})").alias(into))
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())]))
 
     for index in indexes(items, shard):
@@ -210,4 +210,5 @@ def contaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """docs without the texts that hold a test item."""
-    return scan(docs, items, **how).where(F.size("__hits") == 0).select(*docs.columns)
+    hits = unused(docs, "__hits")
+    return scan(docs, items, into=hits, **how).where(F.size(hits) == 0).drop(hits)

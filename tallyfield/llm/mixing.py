@@ -57,16 +57,16 @@ def draw(seed: int, *by: Column) -> Column:
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = SEED) -> DataFrame:
     """docs with size, source_size, target and copies, the number of times that the mix takes the document."""
     planned = _planned(docs, weights, share, cap, seed)
-    named = [F.col(c) for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    named = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
     return planned.select(*named, F.col("__size").alias("size"), F.col("__size_all").alias("source_size"), F.col("__target").alias("target"), F.col("__copies").alias("copies"))
 
 
 def _planned(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = SEED) -> DataFrame:
-    """docs with __size, __size_all, __target and __copies."""
+    """row (a struct of the columns of docs), __size, __size_all, __target and __copies."""
     sized = docs.select("doc_id", "source", "text").select("source", size_of(F.col("text")).alias("size"))
     goal = materialise(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap))
     goal = goal.select(F.col("source").alias("__source"), F.col("source_size").alias("__size_all"), F.col("target").alias("__target"))
-    rows = docs.withColumn("__size", size_of(F.col("text")))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "source", "text", size_of(F.col("text")).alias("__size"))
     if goal.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         joined = rows.join(F.broadcast(goal), F.col("source").eqNullSafe(F.col("__source")), "left")
     else:  # many sources: a shuffle, in which each source's rows are spread over SALTS keys
@@ -76,10 +76,10 @@ def _planned(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     rate = F.when(F.col("__size_all") > 0, F.least(F.col("__target") / F.col("__size_all"), F.lit(float(cap)))).otherwise(F.lit(0.0))
     whole = F.floor(rate)
     copies = whole + (draw(seed, F.col("doc_id"), F.md5("text")) < rate - whole).cast("long")
-    return joined.select(*docs.columns, "__size", "__size_all", "__target", copies.alias("__copies"))
+    return joined.select("row", "__size", "__size_all", "__target", copies.alias("__copies"))
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: each document copies times, with the columns of docs."""
     taken = _planned(docs, **how).where("__copies > 0")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select("row.*")

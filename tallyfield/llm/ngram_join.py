@@ -17,7 +17,8 @@ The exact count of links within a group of m different near copies takes m*m/2 c
 tasks; what is shuffled stays linear in m up to the factor m / block.
 
 Defined cases: null texts count as empty; texts without words are copies of each other; null doc_ids keep their rows;
-repeated rows are copies; an empty table gives no rows. The class id is the smallest doc_id of the class.
+repeated rows are copies; an empty table gives no rows; other columns are kept by keep_one() and ignored by join(), whatever their names. The
+class id is the smallest doc_id of the class.
 """
 
 from __future__ import annotations
@@ -279,7 +280,7 @@ def join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, tole
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:
     """docs with one row of each class: that with the smallest doc_id (then text hash); of repeated rows, one."""
-    kept = join(docs, **how).where("keep").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct()
-    rows = docs.withColumn("__h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__th")))
-    return rows.dropDuplicates(["__id", "__th"]).select(*[docs[c] for c in docs.columns])
+    kept = join(docs, **how).where("keep").select(F.col("doc_id").alias("id"), "th").distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("th")))
+    return rows.dropDuplicates(["id", "th"]).select("row.*")
