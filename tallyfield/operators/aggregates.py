@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,3 +101,17 @@ def version_shift(df: DataFrame, old: str, new: str, by: str) -> DataFrame:
     """Median change, and how many cross 50 either way, per version."""
     d = F.col(new) - F.col(old)
     return df.groupBy(by).agg(F.median(d).alias("median_delta"), F.count_if((F.col(old) < 50) & (F.col(new) >= 50)).alias("up"), F.count_if((F.col(old) >= 50) & (F.col(new) < 50)).alias("down"), F.count("*").alias("n"))
+
+
+def funnel(df: DataFrame, stage: str, entity: str, order: Sequence[str] = ()) -> DataFrame:
+    """Rows and distinct entities of each stage, with the stage's place in order (stages that are not listed come last)."""
+    from ..plans.rules import rank_of
+
+    out = df.groupBy(stage).agg(F.count("*").alias("n_rows"), F.countDistinct(entity).alias("n_entities"))
+    return out.withColumn("place", rank_of(stage, order) if order else F.lit(1))
+
+
+def in_both(a: DataFrame, b: DataFrame, key: str | list[str]) -> DataFrame:
+    """The distinct keys that both tables hold (null keys are equal)."""
+    keys = [key] if isinstance(key, str) else key
+    return a.select(*keys).intersect(b.select(*keys))

@@ -12,6 +12,7 @@ from .functions import text as T
 from .operators import aggregates as A
 from .operators import joins as J
 from .operators import matching as MT
+from .operators import phrases as PH
 from .operators import ranking as R
 from .operators import reports as P
 from .plans.rules import all_matches, first_match, rank_of
@@ -152,16 +153,8 @@ def excerpts(spark, d):
 
 @query("SELECT doc_id, item_id FROM documents JOIN benchmark ON contains(documents.text, benchmark.text)")
 def quotes_in_documents(spark, d):
-    """Whether an item's own words stand in a text: its second to fifth words find the pairs, the whole item decides.
-    Items of up to five words have no four that must be whole words of the text, so they are looked for in every text."""
-    words = F.split("text", r"[ \n]")
-    items = t(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), F.array_join(F.slice(words, 2, 4), " ").alias("k"), (F.size(words) > 5).alias("long"))
-    short, items = items.where("not long").select("item_id", "item"), items.where("long").drop("long")
-    grams = T.bound(F.split("text", r"[ \n]"), lambda words: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 3, F.lit(1))), lambda i: F.concat_ws(" ", *[F.get(words, i - 1 + k) for k in range(4)]))))
-    docs = t(spark, d, "documents").select("doc_id", "text")
-    pairs = docs.select("doc_id", F.explode(grams).alias("k")).join(items.select("item_id", "k"), "k").select("doc_id", "item_id").distinct()
-    found = pairs.join(docs, "doc_id").join(items, "item_id").where(F.contains("text", F.col("item"))).select("doc_id", "item_id")
-    return found.unionByName(docs.join(short, F.contains("text", F.col("item"))).select("doc_id", "item_id"))
+    """Whether an item's own words stand in a text."""
+    return PH.phrases_in_texts(t(spark, d, "documents"), t(spark, d, "benchmark"), "doc_id", "text", "item_id", "text")
 
 
 @query("SELECT o_custkey, o_orderkey, rank FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)::INT AS rank FROM orders) WHERE rank <= 3")

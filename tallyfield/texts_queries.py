@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .functions import classify as C
 from .functions import spans as SP
+from .operators import aggregates as A
 from .operators import vectors as V
+from .places_queries import pick
 from .queries import query, t
 from .sources import html as H
 
@@ -111,3 +114,44 @@ def nearest_examples(spark, d):
     near = V.nearest_in_block(q.where(~several), refs, "embedding", "vec_id", "ref_id", "place")
     verdicts = near.select("query_id", F.col("near_id").alias("ref_id"), F.when(F.col("query_id") % 3 == 1, True).when(F.col("query_id") % 3 == 2, False).alias("same"), F.lit("medium").alias("confidence"), F.lit("read by a person").alias("reason"))
     return V.example_match(q, refs, near, verdicts, "vec_id", "place", several).withColumn("similarity", F.round("similarity", 6))
+
+
+REST = '"organization": "Office", "lead_type": "Country-led", "is_humanitarian_data": "TRUE", "instrument_or_title": "Survey {}", "recommendation_referenced": null, "evidence_quote": "' + "q" * 310 + '"'
+ANSWERS = (
+    '{"relevance_score": 140, "counted": true, "implementation_status": "Planned", "population": ["refugees", "IDPs"], "year": "in 2021", "confidence": "HIGH", ' + REST + "}",
+    'Sure: {"relevance_score": "7.5", "counted": "yes", "implementation_status": "soon", "population": "stateless", "year": 1999, "confidence": "certain", ' + REST + "} Done.",
+    '{"relevance_score": -3, "counted": false, "population": [], "confidence": null, ' + REST + "}",
+    "no object", '{"relevance_score": 1', '{"relevance_score": "none", "counted": "True", "implementation_status": null, "population": "", "year": "2030-2031", "confidence": "medium", ' + REST + "}",
+)
+ANSWER = pick("o_orderkey", ANSWERS)
+OBJECT = "CASE WHEN regexp_matches(a, '(?s)\\{.*\\}') THEN regexp_extract(a, '(?s)\\{.*\\}') ELSE a END"
+FIELD = "coalesce(j ->> '$.{}', '')".format
+
+
+def worded(k: str) -> str:
+    allowed = C.EXTRACT_WORDS[k]
+    return f"CASE WHEN lower({FIELD(k)}) IN {allowed} THEN lower({FIELD(k)}) ELSE '{allowed[0]}' END"
+
+
+@query(f"""WITH p AS (SELECT o_orderkey, {ANSWER} AS a FROM orders), o AS (SELECT o_orderkey, {OBJECT} AS o FROM p), j AS (SELECT o_orderkey, CASE WHEN json_valid(o) THEN o::JSON END AS j FROM o),
+k AS (SELECT o_orderkey, j FROM j WHERE len(list_intersect(json_keys(j), {list(C.EXTRACT_KEYS)})) = {len(C.EXTRACT_KEYS)})
+SELECT o.o_orderkey, least(100, greatest(0, coalesce(try_cast({FIELD('relevance_score')} AS DOUBLE), 0)))::DOUBLE * CASE WHEN j IS NULL THEN NULL ELSE 1 END AS score, CASE WHEN j IS NOT NULL THEN concat_ws('/', {worded('implementation_status')}, {worded('lead_type')}, {worded('confidence')},
+lower({FIELD('counted')}) = 'true', lower({FIELD('is_humanitarian_data')}) = 'true', CASE WHEN json_type(j, '$.population') = 'ARRAY' THEN array_to_string(CAST(j -> '$.population' AS VARCHAR[]), '; ') ELSE {FIELD('population')} END,
+regexp_extract({FIELD('year')}, '20\d{{2}}'), {FIELD('instrument_or_title')}, {FIELD('recommendation_referenced')}, length({FIELD('evidence_quote')}[1:300])) END AS told FROM o LEFT JOIN k ON o.o_orderkey = k.o_orderkey""")
+def extracted_evidence(spark, d):
+    """Answers of a model, told from the keys of orders, as fields that can be trusted."""
+    x = lambda c: F.col("x").getField(c)
+    rows = t(spark, d, "orders").selectExpr("o_orderkey", f"{ANSWER} AS a".replace("\\", "\\\\")).select("o_orderkey", C.validated_extract(F.col("a")).alias("x"))
+    told = F.concat_ws("/", *[x(c).cast("string") for c in ("implementation_status", "lead_type", "confidence", "counted", "is_humanitarian_data", "population", "year", "instrument_or_title", "recommendation_referenced")], F.length(x("evidence_quote")).cast("string"))
+    return rows.select("o_orderkey", x("relevance_score").alias("score"), F.when(F.col("x").isNotNull(), told).alias("told"))
+
+
+@query("SELECT o_orderstatus AS stage, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_entities, CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 2 ELSE 3 END::INT AS place FROM orders GROUP BY o_orderstatus")
+def order_funnel(spark, d):
+    return A.funnel(t(spark, d, "orders").withColumnRenamed("o_orderstatus", "stage"), "stage", "o_custkey", ("O", "P"))
+
+
+@query("SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' INTERSECT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A'")
+def parts_of_both_flags(spark, d):
+    lines = t(spark, d, "lineitem")
+    return A.in_both(lines.where("l_returnflag = 'R'"), lines.where("l_returnflag = 'A'"), "l_partkey")
