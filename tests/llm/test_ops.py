@@ -366,9 +366,7 @@ def test_decontamination_brute_force(spark):
     assert decontaminate.contaminated(docs_of(spark, texts), bench.limit(0)).count() == 0
 
 
-def test_short_items_are_found_in_a_row(spark, tmp_path):
-    from tallyfield import queries
-
+def test_short_items_are_found_in_a_row(spark):
     items = [(n, prose(700 + n, n)) for n in range(1, 10)] + [(20, prose(720, 5)[:-1]), (21, None)]
     texts = [(n, f"{prose(n, 90)} {x} {prose(50 + n, 90)}") for n, x in items if x]
     texts += [(100 + n, f"{prose(n, 90)} {' '.join(x.split()[::-1])} {prose(50 + n, 90)}") for n, x in items if x and n > 1] + [(200, items[0][1]), (201, ""), (202, None)]
@@ -376,17 +374,6 @@ def test_short_items_are_found_in_a_row(spark, tmp_path):
     got = decontaminate.contaminated(docs_of(spark, texts), bench).collect()
     plain = lambda x: f" {x} "
     assert sorted((x.doc_id, x.item_id) for x in got) == sorted((i, n) for i, x in texts for n, y in items if x and y and plain(y) in plain(x))
-    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
-    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
-    got = queries.quotes_in_documents(spark, str(tmp_path)).collect()
-    assert sorted((x.doc_id, x.item_id) for x in got) == sorted((i, n) for i, x in texts for n, y in items if x and y and y in x)
-
-
-def test_all_email_addresses_count(spark, tmp_path):
-    from tallyfield import queries
-
-    docs_of(spark, [(1, " ".join(f"a{k}@b.org" for k in range(1500)))]).write.parquet(f"{tmp_path}/documents.parquet")
-    assert queries.emails_and_years(spark, str(tmp_path)).first().n_emails == 1500
 
 
 def test_wand_finds_what_full_scoring_finds():
