@@ -137,7 +137,7 @@ def worded(k: str) -> str:
 k AS (SELECT o_orderkey, j FROM j WHERE len(list_intersect(json_keys(j), {list(C.EXTRACT_KEYS)})) = {len(C.EXTRACT_KEYS)})
 SELECT o.o_orderkey, least(100, greatest(0, coalesce(try_cast({FIELD('relevance_score')} AS DOUBLE), 0)))::DOUBLE * CASE WHEN j IS NULL THEN NULL ELSE 1 END AS score, CASE WHEN j IS NOT NULL THEN concat_ws('/', {worded('implementation_status')}, {worded('lead_type')}, {worded('confidence')},
 lower({FIELD('counted')}) = 'true', lower({FIELD('is_humanitarian_data')}) = 'true', CASE WHEN json_type(j, '$.population') = 'ARRAY' THEN array_to_string(CAST(j -> '$.population' AS VARCHAR[]), '; ') ELSE {FIELD('population')} END,
-regexp_extract({FIELD('year')}, '20\d{{2}}'), {FIELD('instrument_or_title')}, {FIELD('recommendation_referenced')}, length({FIELD('evidence_quote')}[1:300])) END AS told FROM o LEFT JOIN k ON o.o_orderkey = k.o_orderkey""")
+regexp_extract({FIELD('year')}, '20\\d{{2}}'), {FIELD('instrument_or_title')}, {FIELD('recommendation_referenced')}, length({FIELD('evidence_quote')}[1:300])) END AS told FROM o LEFT JOIN k ON o.o_orderkey = k.o_orderkey""")
 def extracted_evidence(spark, d):
     """Answers of a model, told from the keys of orders, as fields that can be trusted."""
     x = lambda c: F.col("x").getField(c)

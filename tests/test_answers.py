@@ -39,3 +39,17 @@ def test_funnel_and_keys_in_both(spark):
     df = spark.createDataFrame([("new", 1), ("new", 1), ("sent", 1), ("new", 2), (None, 3)], "stage string, e int")
     assert {x.stage: (x.n_rows, x.n_entities, x.place) for x in A.funnel(df, "stage", "e", ("sent", "new")).collect()} == {"new": (3, 2, 2), "sent": (1, 1, 1), None: (1, 1, 3)}
     assert sorted((x.stage or "") for x in A.in_both(df.select("stage"), spark.createDataFrame([("new",), (None,), ("x",)], "stage string"), "stage").collect()) == ["", "new"]
+
+
+def test_quotes_and_addresses_of_whole_tables(spark, tmp_path):
+    from tallyfield import queries
+
+    r = random.Random(3)
+    word = lambda: "".join(r.choices("bcdfgaeiou", k=5))
+    items = [(n, " ".join(word() for _ in range(n))) for n in range(1, 10)] + [(20, word()[:-1]), (21, None)]
+    texts = [(n, f"{word()} {x} {word()}") for n, x in items if x] + [(100 + n, " ".join(x.split()[::-1])) for n, x in items if x] + [(201, ""), (202, None), (203, " ".join(f"a{k}@b.org" for k in range(1500)))]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.quotes_in_documents(spark, str(tmp_path)).collect()
+    assert sorted((x.doc_id, x.item_id) for x in got) == sorted((i, n) for i, x in texts for n, y in items if x and y and y in x)
+    assert {x.doc_id: x.n_emails for x in queries.emails_and_years(spark, str(tmp_path)).collect()}[203] == 1500
