@@ -110,6 +110,12 @@ def url_year(url: Column) -> Column:
     return F.nullif(F.regexp_extract(url, r"/(20\d{2})/\d{1,2}/", 1), F.lit("")).cast("int")
 
 
+def lead_year(url: Column) -> Column:
+    """The year of a date in an address: /2024/ or /2024-, else /241219/ (with a letter after it, if there is one)."""
+    whole, short = F.regexp_extract(url, "/(20[12][0-9])[/-]", 1), F.regexp_extract(url, "/(2[0-6])(0[1-9]|1[0-2])[0-3][0-9][a-z]?[/-]", 1)
+    return F.coalesce(F.nullif(whole, F.lit("")), F.concat(F.lit("20"), F.nullif(short, F.lit("")))).cast("int")
+
+
 def safe_num(c: Column) -> Column:
     return c.try_cast("double")
 
@@ -126,30 +132,50 @@ def norm_value(c: Column) -> Column:
     return F.replace(F.regexp_replace(F.lower(c), r"\s", ""), F.lit(","), F.lit("."))
 
 
-# The script tests and function words by which a language is told.
-SCRIPTS = (("ko", r"\p{IsHangul}"), ("ja", r"[\p{IsHiragana}\p{IsKatakana}]"), ("zh", r"\p{IsHan}"), ("th", r"\p{IsThai}"), ("he", r"\p{IsHebrew}"), ("ar", r"\p{IsArabic}"), ("el", r"\p{IsGreek}"), ("ru", r"\p{IsCyrillic}"))
-STOP_WORDS = {
-    "en": "the|of|and|to|in|is|was|with|that|for",
-    "fr": "le|la|les|des|et|du|une|que|est|pour",
-    "es": "el|los|las|del|que|una|por|con|se|es",
-    "de": "der|die|das|und|von|mit|ist|den|ein|zu",
-    "pt": "os|das|dos|uma|não|em|para|com|ao|na",
-}
+# Script tests in order, and for each language in Latin script its function words and its own letters (with their weight).
+SCRIPTS = (
+    ("Korean", r"\p{IsHangul}"), ("Japanese", r"[\p{IsHiragana}\p{IsKatakana}]"), ("Chinese", r"\p{IsHan}"), ("Thai", r"\p{IsThai}"), ("Hebrew", r"\p{IsHebrew}"),
+    ("Persian", "[پگچژ]"), ("Arabic", r"\p{IsArabic}"), ("Greek", r"\p{IsGreek}"),
+    ("Ukrainian", "[іїєґ]"), ("Russian", "[ыэъё]"), ("Cyrillic (undetermined)", r"\p{IsCyrillic}"),
+)
+FUNCTION_WORDS = (
+    ("English", "the|and|of|for|with|from", ()),
+    ("French", "les|des|une|est|dans|pour|aux", ()),
+    ("Spanish", "los|las|del|según|número|población|para", (("[ñ]", 2), ("[¿¡]", 2))),
+    ("Portuguese", "dos|das|não|são|uma|reúne|informações|domicílios", (("ção|ões", 1), ("[ãõ]", 2))),
+    ("German", "der|die|das|und|für|von|nicht", ()),
+    ("Turkish", "ve|bir|için|ile|bu", (("[ığş]", 1),)),
+    ("Dutch", "het|van|een|niet|voor", ()),
+    ("Italian", "della|che|per|con|sono|degli", ()),
+    ("Polish", "się|jest|oraz", (("[ąęłżź]", 1),)),
+    ("Indonesian", "yang|dan|untuk|dari|dengan", ()),
+)
 
 
 def detect_language(c: Column, least: int = 3) -> Column:
-    """A code by script, else by most function words (ties to the first listed); null under 20 characters or `least` words."""
+    """The language's name by script, else by most function words and letters of its own (ties to the first listed).
+
+    Null under 20 characters, undetermined if no language reaches `least`. The listed words are taken out of the text in
+    one pass, and each language's are counted among those.
+    """
+    listed = rf"(?U)\b({'|'.join(sorted({w for _, words, _ in FUNCTION_WORDS for w in words.split('|')}))})\b"
+    own = "".join(p.strip("[]") for _, _, letters in FUNCTION_WORDS for p, _ in letters if p.startswith("["))
+
+    def best(x: Column) -> Column:
+        found = F.struct(F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(x, F.lit(listed), 1), "  "), F.lit(" ")).alias("words"), F.regexp_replace(x, f"[^{own}]+", "").alias("letters"))
 
-    def scores(words: Column) -> Column:
-        def hits(listed: list[str]) -> Column:
-            return F.size(F.filter(words, lambda w: w.isin(*listed)))
+        def score(f: Column, words: str, letters: tuple) -> Column:
+            out = F.regexp_count(f["words"], F.lit(f" (?:{words}) "))
+            for pattern, weight in letters:
+                out = out + weight * F.regexp_count(f["letters"] if pattern.startswith("[") else x, F.lit(pattern))
+            return out
 
-        return F.array_max(F.array(*[F.struct(hits(s.split("|")).alias("n"), F.lit(-k).alias("k"), F.lit(lang).alias("lang")) for k, (lang, s) in enumerate(STOP_WORDS.items())]))
+        return bound(found, lambda f: F.array_max(F.array(*[F.struct(score(f, w, own_).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("name")) for k, (name, w, own_) in enumerate(FUNCTION_WORDS)])))
 
-    named = bound(bound(F.split(F.lower(c), r"[^\p{L}]+"), scores), lambda best: F.when(best["n"] >= least, best["lang"]))
-    out = F.when(F.length(c) < 20, F.lit(None).cast("string"))
-    for lang, pattern in SCRIPTS:
-        out = out.when(c.rlike(pattern), F.lit(lang))
+    named = bound(bound(F.lower(c), best), lambda b: F.when(b["n"] >= least, b["name"]).otherwise("Latin script (undetermined)"))
+    out = F.when(c.isNull() | (F.length(c) < 20), F.lit(None).cast("string"))
+    for name, pattern in SCRIPTS:
+        out = out.when(c.rlike(pattern), F.lit(name))
     return out.otherwise(named)
 
 
@@ -252,6 +278,46 @@ def search_phrase(title: Column, place: Column, generic: Sequence[str] = (), wor
     return F.concat_ws(" ", F.array_join(F.slice(content_tokens(title, generic), 1, words), " "), place)
 
 
+# What names a kind of instrument and a population in titles, and the words that searches of catalogues know.
+INSTRUMENTS = (("census", "census|recens|censo"), ("survey", "survey|enqu|encuesta|assessment|profiling|monitoring"))
+SOUGHT = (("refugee", "refugee|réfugi|refugiad"), ("displaced", "idp|displaced|déplac|desplaz"), ("stateless", "stateless|apatri"))
+COMMON = ("the", "of", "and", "for", "de", "la", "project", "survey", "study", "data", "report", "national", "joint", "center", "funded", "household")
+TOPICS = (("refugee", "refugees", "refugee"), ("idp", "internally displaced", "displaced"), ("stateless", "stateless", "stateless"))
+
+
+def search_phrases(title: Column, place: Column, populations: Column) -> Column:
+    """What to ask of catalogues and search engines for one record, as a struct.
+
+    short: place, population and kind of instrument; distinctive: three words of the title and the place; topic: the
+    populations in words; catalogue: place and a word for each population; keywords: an array for table interfaces.
+    Null title, place or populations count as empty.
+    """
+    title, place, populations = (F.coalesce(x, F.lit("")) for x in (title, place, populations))
+    both, pops, low = F.lower(F.concat_ws(" ", title, populations)), F.lower(populations), F.lower(title)
+
+    def first(rules: Sequence[tuple[str, str]]) -> Column:
+        out = F.lit("")
+        for name, pattern in reversed(rules):
+            out = F.when(both.rlike(pattern), F.lit(name)).otherwise(out)
+        return out
+
+    words = F.array_except(F.array_distinct(F.filter(F.split(squish(F.regexp_replace(low, "[^a-z ]", " ")), " "), lambda w: F.length(w) > 3)), F.array(*map(F.lit, COMMON)))
+    asked = lambda k: F.array_join(F.array_compact(F.array(*[F.when(F.contains(pops, F.lit(row[0])), F.lit(row[k])) for row in TOPICS])), " ")
+    keys = F.array_distinct(F.flatten(F.array(*[
+        F.when(cond, F.array(*map(F.lit, found))).otherwise(F.array().cast("array<string>"))
+        for cond, found in (
+            (F.contains(pops, F.lit("refugee")) | low.rlike("refugee|asylum"), ("asylum", "refugee")),
+            (F.contains(pops, F.lit("idp")) | F.contains(low, F.lit("internally displaced")), ("displaced",)),
+            (F.contains(pops, F.lit("stateless")) | low.rlike("stateless|nationalit"), ("stateless", "citizenship")),
+        )
+    ])))
+    return F.struct(
+        squish(F.concat_ws(" ", place, first(SOUGHT), first(INSTRUMENTS))).alias("short"), squish(F.concat_ws(" ", F.array_join(F.slice(words, 1, 3), " "), place)).alias("distinctive"),
+        F.coalesce(F.nullif(asked(1), F.lit("")), F.lit("forcibly displaced")).alias("topic"), squish(F.concat_ws(" ", place, asked(2))).alias("catalogue"),
+        F.when(F.size(keys) > 0, keys).otherwise(F.array(F.lit("migration"), F.lit("foreign"))).alias("keywords"),
+    )
+
+
 def html_to_text(html: Column, most: int | None = None) -> Column:
     """Text without tags, scripts and page furniture; `most` bounds the characters read (none: the whole page)."""
     x = html if most is None else F.substring(html, 1, most)

@@ -31,6 +31,19 @@ def latest_wide(df: DataFrame, key: str, measure: str, year: str, value: str, me
     return out.withColumn("total", sum((F.coalesce(F.col(m), F.lit(0.0)) for m in measures), F.lit(0.0)))
 
 
+def latest_context(df: DataFrame, key: str, measure: str, year: str, value: str, source: str, measures: list[str], summed: list[str], official: str) -> DataFrame:
+    """One row a key: of each measure its value, year and source in its latest year (ties to the larger value, then source), the sum of the measures
+    in `summed` (absent ones count 0), and whether the latest source of any measure, listed or not, matches `official`.
+
+    A partial aggregate by (key, measure), then one by key; no group is sorted.
+    """
+    last = df.where(F.col(year).isNotNull()).groupBy(key, measure).agg(F.max(F.struct(F.col(year).alias("y"), F.col(value).alias("v"), F.col(source).alias("s"))).alias("__m"))
+    at = lambda m, f: F.max(F.when(F.col(measure) == m, F.col(f"__m.{f}")))
+    cols = [c for m in measures for c in (at(m, "v").alias(m), at(m, "y").alias(f"{m}_year"), at(m, "s").alias(f"{m}_source"))]
+    out = last.groupBy(key).agg(*cols, F.bool_or(F.lower(F.coalesce("__m.s", F.lit(""))).rlike(official)).alias("any_official"))
+    return out.withColumn("total", sum((F.coalesce(F.col(m), F.lit(0.0)) for m in summed), F.lit(0.0)))
+
+
 def composition_cap(df: DataFrame, is_core: Column, share: float, order: list[Column]) -> DataFrame:
     """All core rows, and of the others at most floor(n * (1 - share) / share), the first by order."""
     n = df.where(is_core).count()  # one number

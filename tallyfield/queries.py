@@ -96,9 +96,16 @@ def fold_text(spark, d):
     return t(spark, d, "documents").select("doc_id", F.md5(T.fold(F.col("text"))).alias("folded"), T.norm_title(F.substring("text", 1, 120)).alias("norm_title"))
 
 
-@query(r"""SELECT doc_id, CASE WHEN length(text) < 20 THEN NULL WHEN regexp_matches(text, '\p{Hangul}') THEN 'ko' WHEN regexp_matches(text, '[\p{Hiragana}\p{Katakana}]') THEN 'ja' WHEN regexp_matches(text, '\p{Han}') THEN 'zh' WHEN regexp_matches(text, '\p{Thai}') THEN 'th' WHEN regexp_matches(text, '\p{Hebrew}') THEN 'he' WHEN regexp_matches(text, '\p{Arabic}') THEN 'ar' WHEN regexp_matches(text, '\p{Greek}') THEN 'el' WHEN regexp_matches(text, '\p{Cyrillic}') THEN 'ru'
- ELSE (SELECT CASE WHEN n >= 3 THEN l END FROM (VALUES ('en', 0, len(list_filter(w, lambda x: x IN ('the','of','and','to','in','is','was','with','that','for')))), ('fr', 1, len(list_filter(w, lambda x: x IN ('le','la','les','des','et','du','une','que','est','pour')))), ('es', 2, len(list_filter(w, lambda x: x IN ('el','los','las','del','que','una','por','con','se','es')))), ('de', 3, len(list_filter(w, lambda x: x IN ('der','die','das','und','von','mit','ist','den','ein','zu')))), ('pt', 4, len(list_filter(w, lambda x: x IN ('os','das','dos','uma','não','em','para','com','ao','na'))))) v(l, k, n) ORDER BY n DESC, k LIMIT 1) END AS language
-FROM (SELECT *, regexp_split_to_array(lower(text), '[^\p{L}]+') AS w FROM documents)""")
+def _language_sql() -> str:
+    scripts = " ".join(f"WHEN regexp_matches(text, '{p.replace('p{Is', 'p{')}') THEN '{name}'" for name, p in T.SCRIPTS)
+    words = lambda w: "len(list_filter(w, lambda x: x IN (" + ", ".join(f"'{x}'" for x in w.split("|")) + ")))"
+    extra = lambda letters: "".join(f" + {k} * len(regexp_extract_all(low, '{p}'))" for p, k in letters)
+    rows = ", ".join(f"('{name}', {k}, {words(w)}{extra(letters)})" for k, (name, w, letters) in enumerate(T.FUNCTION_WORDS))
+    return f"""SELECT doc_id, CASE WHEN text IS NULL OR length(text) < 20 THEN NULL {scripts} ELSE (SELECT CASE WHEN n >= 3 THEN l ELSE 'Latin script (undetermined)' END FROM (VALUES {rows}) v(l, k, n) ORDER BY n DESC, k LIMIT 1) END AS language
+FROM (SELECT *, lower(text) AS low, regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}_]+') AS w FROM documents)"""
+
+
+@query(_language_sql())
 def language_of(spark, d):
     return t(spark, d, "documents").select("doc_id", T.detect_language(F.col("text")).alias("language"))
 
