@@ -155,28 +155,34 @@ FUNCTION_WORDS = (
 def detect_language(c: Column, least: int = 3) -> Column:
     """The language's name by script, else by most function words and letters of its own (ties to the first listed).
 
-    Null under 20 characters, undetermined if no language reaches `least`. The listed words are taken out of the text in
-    one pass, and each language's are counted among those.
+    Null under 20 characters, undetermined if no language reaches `least`. Scripts are looked for in what is left without
+    Latin letters; the listed words are taken out of the text once, and each language's are counted among those.
     """
-    listed = rf"(?U)\b({'|'.join(sorted({w for _, words, _ in FUNCTION_WORDS for w in words.split('|')}))})\b"
+    listed = sorted({w for _, words, _ in FUNCTION_WORDS for w in words.split("|")})
     own = "".join(p.strip("[]") for _, _, letters in FUNCTION_WORDS for p, _ in letters if p.startswith("["))
 
-    def best(x: Column) -> Column:
-        found = F.struct(F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(x, F.lit(listed), 1), "  "), F.lit(" ")).alias("words"), F.regexp_replace(x, f"[^{own}]+", "").alias("letters"))
+    def named(x: Column) -> Column:
+        words = F.filter(F.split(x, r"[^\p{L}\p{M}\p{N}_]+"), lambda w: w.isin(*listed))
+        found = F.struct(F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" ")).alias("words"), F.regexp_replace(x, f"[^{own}]+", "").alias("letters"))
 
         def score(f: Column, words: str, letters: tuple) -> Column:
             out = F.regexp_count(f["words"], F.lit(f" (?:{words}) "))
             for pattern, weight in letters:
-                out = out + weight * F.regexp_count(f["letters"] if pattern.startswith("[") else x, F.lit(pattern))
+                # endings hold letters of the language's own, so most texts are not searched for them
+                hits = F.regexp_count(f["letters"], F.lit(pattern)) if pattern.startswith("[") else F.when(f["letters"].rlike(f"[{own}]"), F.regexp_count(x, F.lit(pattern))).otherwise(0)
+                out = out + weight * hits
             return out
 
-        return bound(found, lambda f: F.array_max(F.array(*[F.struct(score(f, w, own_).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("name")) for k, (name, w, own_) in enumerate(FUNCTION_WORDS)])))
+        best = bound(found, lambda f: F.array_max(F.array(*[F.struct(score(f, w, own_).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("name")) for k, (name, w, own_) in enumerate(FUNCTION_WORDS)])))
+        return bound(best, lambda b: F.when(b["n"] >= least, b["name"]).otherwise("Latin script (undetermined)"))
 
-    named = bound(bound(F.lower(c), best), lambda b: F.when(b["n"] >= least, b["name"]).otherwise("Latin script (undetermined)"))
-    out = F.when(c.isNull() | (F.length(c) < 20), F.lit(None).cast("string"))
-    for name, pattern in SCRIPTS:
-        out = out.when(c.rlike(pattern), F.lit(name))
-    return out.otherwise(named)
+    def scripted(other: Column) -> Column:
+        out = F.when(F.length(c) < 20, F.lit(None).cast("string"))
+        for name, pattern in SCRIPTS:
+            out = out.when(other.rlike(pattern), F.lit(name))
+        return out.otherwise(bound(F.lower(c), named))
+
+    return F.when(c.isNotNull(), bound(F.regexp_replace(c, r"[\x00-\x{24F}\x{1E00}-\x{1EFF}]+", ""), scripted))
 
 
 def windows_with(text: Column, pattern: str, size: int = 1500, budget: int = 12000) -> Column:

@@ -92,10 +92,13 @@ def programme_match(left: DataFrame, right: DataFrame, place: str, left_id: str,
     r = right.select(F.col(place).alias("rp"), _set(codes).alias("rc"), F.col(year).alias("ry"), F.col(right_id).alias("r")).where(F.size("rc") > 0).groupBy("rp", "rc", "ry").agg(F.min("r").alias("r"))
     mine = left.withColumns({"__p": F.col(place), "__k": _set(codes), "__y": F.col(year)})
     nodes = mine.select(F.col("__p").alias("lp"), F.col("__k").alias("lc"), F.col("__y").alias("ly")).where(F.size("lc") > 0).distinct()
-    pairs = nodes.join(names, "lp").withColumn("c", F.explode("lc")).join(r.withColumn("c", F.explode("rc")), ["rp", "c"])
-    pairs = pairs.groupBy("lp", "lc", "ly", "rp", "rc", "ry", "r").agg(F.count("*").alias("n"))
+    # combinations of codes meet by a shared code, without their years; those that share most stay
+    pairs = nodes.select("lp", "lc").distinct().join(names, "lp").withColumn("c", F.explode("lc")).join(r.select("rp", "rc", F.explode("rc").alias("c")).distinct(), ["rp", "c"])
+    pairs = pairs.select("lp", "lc", "rp", "rc").distinct().withColumn("codes", F.array_intersect("rc", "lc")).withColumn("n", F.size("codes"))
+    most = pairs.groupBy("lp", "lc").agg(F.max("n").alias("n"))
+    studies = pairs.join(most, ["lp", "lc", "n"]).join(r, ["rp", "rc"]).groupBy("lp", "lc", "ry").agg(F.min(F.struct("r", "codes")).alias("s"))
     gap = F.coalesce(F.abs(F.col("ly") - F.col("ry")), F.lit(unknown)).cast("int").alias("gap")
-    best = pairs.select("lp", "lc", "ly", F.struct((-F.col("n")).alias("n"), gap, "r", F.array_intersect("rc", "lc").alias("codes")).alias("m")).groupBy("lp", "lc", "ly").agg(F.min("m").alias("__m"))
+    best = nodes.join(studies, ["lp", "lc"]).select("lp", "lc", "ly", F.struct(gap, "s.r", "s.codes").alias("m")).groupBy("lp", "lc", "ly").agg(F.min("m").alias("__m"))
     best = best.select(F.col("lp").alias("__lp"), F.col("lc").alias("__lc"), F.col("ly").alias("__ly"), "__m")
     out = mine.join(best, (F.col("__p") == F.col("__lp")) & (F.col("__k") == F.col("__lc")) & F.col("__y").eqNullSafe(F.col("__ly")), "left")
     found, shared = F.col("__m").isNotNull(), F.col("__m.codes")
