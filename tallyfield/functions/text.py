@@ -94,8 +94,13 @@ def host_suffixes(host: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
 
 
+#: Second levels below which a name of its own begins, after the name.
+SECOND_LEVELS = r"^[^.]+\.(gov|go|govt|gob|gub|gc|org|or|com|co|net|ac|edu|rks-gov)\."
+
+
 def site_pattern(host: Column) -> Column:
-    return F.when(F.size(F.split(host, r"\.")) > 3, F.concat(host, F.lit("/*"))).otherwise(F.concat(F.lit("*."), host))
+    """`*.host` for a domain of one's own, also below a public second level; `host/*` for a part of a portal that others share."""
+    return F.when((F.regexp_count(host, F.lit(r"\.")) >= 2) & ~host.rlike(SECOND_LEVELS), F.concat(host, F.lit("/*"))).otherwise(F.concat(F.lit("*."), host))
 
 
 def year_of(c: Column) -> Column:

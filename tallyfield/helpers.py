@@ -48,9 +48,12 @@ WORDS = "list_filter(string_split(trim(regexp_replace(lower(regexp_replace(coale
 OWN = "regexp_replace(lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '')"
 
 
+SECOND = T.SECOND_LEVELS
+
+
 @query(f"""WITH p AS (SELECT p_partkey, {X} AS x, {U} AS u FROM part), h AS (SELECT *, {OWN} AS host, lower(regexp_extract(u, '\\.([A-Za-z0-9]{{2,5}})(?:[?#].*)?$', 1)) AS ext, {WORDS} AS w0, nullif(regexp_extract(u, '/(20\\d{{2}})/\\d{{1,2}}/', 1), '')::INT AS uy FROM p), k AS (SELECT *, list_filter(w0, lambda x, i: list_position(w0, x) = i) AS w FROM h)
 SELECT p_partkey, CASE WHEN ext IN ('csv', 'xlsx', 'xls', 'zip', 'sav', 'dta', 'json') THEN 'data' WHEN ext IN ('pdf', 'doc', 'docx') THEN 'document' WHEN ext IN ('css', 'js', 'png', 'jpg', 'gif', 'svg', 'ico') THEN 'asset' ELSE 'portal' END AS kind,
-CASE WHEN length(host) - length(replace(host, '.', '')) > 2 THEN host || '/*' ELSE '*.' || host END AS pattern, coalesce(CASE WHEN length(x) > 25 THEN x END, nullif(x, ''), nullif(regexp_extract(u, '([^/]+)/?$', 1), '')) AS label,
+CASE WHEN length(host) - length(replace(host, '.', '')) >= 2 AND NOT regexp_matches(host, '{SECOND}') THEN host || '/*' ELSE '*.' || host END AS pattern, coalesce(CASE WHEN length(x) > 25 THEN x END, nullif(x, ''), nullif(regexp_extract(u, '([^/]+)/?$', 1), '')) AS label,
 array_to_string(w, ' ') AS words, concat_ws(' ', array_to_string(w[1:3], ' '), 'Kenya') AS phrase, nullif(regexp_extract(x, '((?:19|20)\\d{{2}})', 1), '')::INT AS year, uy AS url_year,
 CASE WHEN p_partkey % 4 = 0 AND p_partkey % 8 = 0 THEN 'RECENT (lastmod)' WHEN uy >= 2023 THEN 'RECENT (url year)' WHEN p_partkey % 4 = 0 OR uy IS NOT NULL THEN 'OLDER' ELSE 'UNKNOWN' END AS recency, p_partkey % 3 = 0 OR 2000 + p_partkey % 30 BETWEEN 2005 AND 2025 AS in_window FROM k""")
 def address_helpers(spark, d):

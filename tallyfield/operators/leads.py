@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.classify import answer_populations
+from ..functions.places import harmonize_country
 from ..plans.rules import first_match
 from ..sources.io import extract_links
 from .ranking import top_n
@@ -84,6 +86,37 @@ def pooled_urls(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumn("urls", urls).withColumn("n_urls", F.size("urls"))
 
 
+#: Who leads an example by its code, frameworks by their recommendations, tools that may give microdata, words for hosts.
+LEADS = {"1": "country-led", "2": "institution-led", "3": "other"}
+FRAMEWORKS = ("IRRS", "IRIS", "IROSS")
+MICRODATA_TOOLS = "survey|census|administrative|integration|register"
+HOSTS = "host communit|host population|receiving communit|non-displaced|host and refugee|réfugiés et hôtes|comunidad de acogida|host household"
+ADDRESS = r"(https?://[^\s,;\"'<>\]\)]+)"
+
+
+def roster_normalise(df: DataFrame, results: str, questionnaire: str, others: list[str]) -> DataFrame:
+    """Answers of a questionnaire as the register of examples: texts squished, addresses pooled, flags told from codes and words.
+
+    df: lead_code, country, organisation, title, answered (codes of populations), source_tool, recommendations, description and the columns of
+    addresses. link_results and link_questionnaire are their columns' first addresses; urls are the distinct ones of results,
+    questionnaire and others, in that order. Null texts count as empty; unknown lead codes are `unknown`.
+    """
+    text = lambda c: T.squish(F.coalesce(F.col(c), F.lit("")))
+    found = lambda c: F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(ADDRESS), 1)
+    rows = df.withColumns({
+        "lead_type": F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in LEADS.items() for x in pair]), F.col("lead_code")), F.lit("unknown")),
+        "country": F.when(text("country") == "", "").otherwise(harmonize_country(text("country"))), "organisation": text("organisation"), "title": text("title"), "description": text("description"),
+        "populations": F.array_join(answer_populations(F.col("answered")), ";"), "source_tool": F.lower(text("source_tool")), "recommendations": F.upper(text("recommendations")),
+        "link_results": F.get(found(results), F.lit(0)), "link_questionnaire": F.get(found(questionnaire), F.lit(0)), "urls": F.array_distinct(F.flatten(F.array(*[found(c) for c in (results, questionnaire, *others)]))),
+    })
+    flags = {name.lower(): F.contains("recommendations", F.lit(name)) for name in FRAMEWORKS}
+    rows = rows.withColumns(flags).withColumns({
+        "has_framework": F.greatest(*[F.col(n) for n in flags]), "is_microdata": F.col("source_tool").rlike(MICRODATA_TOOLS), "n_urls": F.size("urls"), "has_link": F.size("urls") > 0,
+        "host_signal": F.lower(F.concat_ws(" ", "title", "description")).rlike(HOSTS) | F.contains("populations", F.lit("other")),
+    })
+    return rows
+
+
 def docs_manifest(sources: list[tuple[DataFrame, list[str]]], id_: str, title: str, method: Column) -> DataFrame:
     """One row per distinct address of several tables' link columns: doc_id, url, its example and title (the smallest), method."""
     out = None

@@ -130,3 +130,20 @@ def test_report_pack(spark):
     assert (a.dashboard_title, a.category_letter, a.in_register, a.is_official_actionable, a.is_reviewed, a.iso3) == ("[web] T", "A", "Multi-country - review per country", True, True, None)
     assert (b.dashboard_title, b.category_letter, b.in_register, b.is_official_actionable, b.is_reviewed) == ("[web] v", "?", "unknown (not compared)", False, False)
     assert sorted((x.email, x.rank, x.contact_type) for x in V.contact_table(r, "web").collect()) == [("p@x", "primary", "t"), ("q@x", "secondary", "t")]
+
+
+def test_roster_of_answers(spark):
+    from tallyfield.operators import leads as L
+
+    cols = "lead_code string, country string, organisation string, title string, answered string, source_tool string, recommendations string, description string, results string, questionnaire string, notes string"
+    rows = [("2", " Kenya ", "o", "A  title", "IDPS OTHER", "Census", "iris 1", "x", "see http://a/1, http://b/2", None, "http://a/1 http://c)"), (None,) * 11]
+    a, b = L.roster_normalise(spark.createDataFrame(rows, cols), "results", "questionnaire", ["notes"]).collect()
+    assert (a.lead_type, a.country, a.title, a.populations, a.link_results, a.link_questionnaire, a.urls, a.n_urls) == ("institution-led", "Kenya", "A title", "idps;other", "http://a/1", None, ["http://a/1", "http://b/2", "http://c"], 3)
+    assert (a.irrs, a.iris, a.has_framework, a.is_microdata, a.host_signal, a.has_link) == (False, True, True, True, True, True)
+    assert (b.lead_type, b.country, b.title, b.populations, b.urls, b.has_link, b.has_framework, b.is_microdata, b.host_signal) == ("unknown", "", "", "", [], False, False, False, False)
+
+
+def test_site_patterns(spark):
+    hosts = {"stats.org": "*.stats.org", "www.stats.gov.xx": "www.stats.gov.xx/*", "ine.gob.mx": "*.ine.gob.mx", "bfs.admin.ch": "bfs.admin.ch/*"}
+    df = spark.createDataFrame([(h,) for h in hosts], "h string")
+    assert {r.h: r.p for r in df.select("h", T.site_pattern(F.col("h")).alias("p")).collect()} == hosts
