@@ -236,9 +236,9 @@ FOUND = "regexp_extract_all(coalesce({}, ''), '" + L.ADDRESS.replace("'", "''")
 @query(f"""WITH r AS (SELECT o_orderkey, {', '.join(f"{v.format(text='VARCHAR')} AS {k}" for k, v in ANSWERED.items())} FROM orders), k AS (SELECT *, {SQUISH("coalesce(title, '')")} AS t, {SQUISH("coalesce(description, '')")} AS ds, lower({SQUISH("coalesce(source_tool, '')")}) AS tool, upper({SQUISH("coalesce(recommendations, '')")}) AS rec, upper(coalesce(answered, '')) AS c,
  {FOUND.format('results')} AS u1, {FOUND.format('questionnaire')} AS u2, {FOUND.format('notes')} AS u3 FROM r), z AS (SELECT *, u1 || u2 || u3 AS u FROM k)
 SELECT o_orderkey, CASE lead_code WHEN '1' THEN 'country-led' WHEN '2' THEN 'institution-led' WHEN '3' THEN 'other' ELSE 'unknown' END AS lead_type, coalesce(country, '') AS country, t AS title,
-array_to_string(list_filter([CASE WHEN regexp_matches(c, '(^|\s)REFUGEES(\s|$)') THEN 'refugees' END, CASE WHEN regexp_matches(c, '(^|\s)IDPS(\s|$)') THEN 'idps' END, CASE WHEN regexp_matches(c, '(^|\s)STATELESSNESS(\s|$)') THEN 'stateless' END, CASE WHEN regexp_matches(c, '(^|\s)OTHER(\s|$)') THEN 'other' END], lambda x: x IS NOT NULL), ';') AS populations,
+array_to_string(list_filter([CASE WHEN regexp_matches(c, '(^|\\s)REFUGEES(\\s|$)') THEN 'refugees' END, CASE WHEN regexp_matches(c, '(^|\\s)IDPS(\\s|$)') THEN 'idps' END, CASE WHEN regexp_matches(c, '(^|\\s)STATELESSNESS(\\s|$)') THEN 'stateless' END, CASE WHEN regexp_matches(c, '(^|\\s)OTHER(\\s|$)') THEN 'other' END], lambda x: x IS NOT NULL), ';') AS populations,
 u1[1] AS link_results, u2[1] AS link_questionnaire, array_to_string(list_filter(u, lambda x, i: list_position(u, x) = i), ' ') AS urls, len(list_distinct(u))::INT AS n_urls, contains(rec, 'IRRS') AS irrs, contains(rec, 'IRRS') OR contains(rec, 'IRIS') OR contains(rec, 'IROSS') AS has_framework, {M('tool', L.MICRODATA_TOOLS)} AS is_microdata,
-{M("lower(concat_ws(' ', t, ds))", L.HOSTS)} OR regexp_matches(c, '(^|\s)OTHER(\s|$)') AS host_signal FROM z""")
+{M("lower(concat_ws(' ', t, ds))", L.HOSTS)} OR regexp_matches(c, '(^|\\s)OTHER(\\s|$)') AS host_signal FROM z""")
 def roster_rows(spark, d):
     answers = t(spark, d, "orders").selectExpr("o_orderkey", *[f"{v.format(text='STRING').replace('//', 'DIV') if 'http' not in v else v.replace(' // ', ' DIV ')} AS {k}" for k, v in ANSWERED.items()])
     return L.roster_normalise(answers, "results", "questionnaire", ["notes"]).select(
