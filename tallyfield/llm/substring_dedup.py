@@ -8,9 +8,10 @@ to leave no run of 20 equal ones. No candidate is left to chance.
 
 Of seeds that occur in two documents, those with equal words NEAR words to each side share a digest and need no comparison.
 Different ones that share the seed and RUN words in a row around it are compared SIDE words to each side, in tasks
-of bounded size (pair by pair up to FEW; of more, each with its neighbours in order, so that all equal words are found, and
-only fewer than 24 words beyond an edit may be left out): the shared span is all equal words around the seed, and beyond an
-edit (GAPS) the next equal words as long as the whole span's exact Jaccard stays at the threshold. Spans count from LEAST
+of bounded size: the shared span is all equal words around the seed, and beyond an
+edit (GAPS) the next equal words as long as the whole span's exact Jaccard stays at the threshold. However many share a seed, every
+one gets the longest of its spans with any other: how far it equals others is told by grouping on the words up to there, and
+only pairs that part at a place and share a shingle a few words on, a second key, can cross an edit and are compared. Spans count from LEAST
 words on (two common lines in a row stay below that), texts of WORDS words or more that recur as a whole whatever their
 length. Components of the links are the classes. Classes found in two or more documents are returned: one
 span of a class stays (the first by doc_id, then place), the others are removals. A passage of many words gives overlapping
@@ -44,8 +45,8 @@ PERIODIC = 48
 BLOCK = 8192
 #: Words left out on either side of an edit: replaced, left out, put in.
 GAPS = [(1, 1), (0, 1), (1, 0), (2, 2), (0, 2), (2, 0), (1, 2), (2, 1), (3, 3), (4, 4), (0, 3), (3, 0), (0, 4), (4, 0)]
-#: Surroundings that share RUN words are all compared with each other up to FEW; of more, with NEXT neighbours in order.
-FEW, NEXT = 64, 4
+#: Pairs of surroundings that are compared at once.
+PAIRS = 1 << 16
 #: Numbers from here on stand for rows without a doc_id.
 NAMELESS = 1 << 62
 #: Edits that a span may cross on each side; within SIDE words the threshold allows no more.
@@ -174,47 +175,74 @@ def _bytes(ids, text, rows, h, first, at, offsets) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(out, ["doc_id", "th", "start", "bytes", "words", "class_id"])
 
 
-def _side(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words of x, words of y, shared shingles beyond the first run) after 0 to EDITS edits, a column each.
+def _outwards(words: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of the 1, 2, 4 ... 32 words from each place on, and of WORDS words; 0 where they reach past the text's end.
 
-    x, y: a row of word hashes for each pair, outwards from the seed, 0 past the text's end. The edit is the first of GAPS
-    after which a whole shingle is equal; where there is none, the columns repeat.
+    words: a row of word hashes for each seed, outwards from it, 0 past the text's end.
     """
-    n, width = x.shape
-    pad = lambda v: np.concatenate([v, np.zeros((n, 2 * WORDS), np.uint32)], 1)
+    h = np.zeros((len(words), SIDE + 2 * WORDS), np.uint64)
+    h[:, :SIDE] = np.where(words == 0, np.uint64(0), mix64(words.astype(np.uint64)) | np.uint64(1))
+    runs = [h]
+    while 2 ** len(runs) <= SIDE:
+        runs.append(_joined(runs[-1], runs[-1], 2 ** (len(runs) - 1)))
+    return runs, _joined(runs[2], h, 4)
 
-    def run(u, v):
-        differ = (u != v) | (u == 0)
-        return np.where(differ.any(1), differ.argmax(1), u.shape[1])
 
-    r = run(x, y)
-    px, py, s = r.copy(), r.copy(), np.zeros(n, np.int64)
-    out = [(px.copy(), py.copy(), s.copy())]
-    x, y = pad(x), pad(y)
+def _joined(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """Hash of what u tells of a place and v of the place n words on; 0 where either is."""
+    out = np.zeros_like(u)
+    x, y = u[:, :-n], v[:, n:]
+    out[:, :-n] = np.where((x == 0) | (y == 0), np.uint64(0), mix64(x * _MULT + y) | np.uint64(1))
+    return out
+
+
+def _equal(runs: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Number of equal words from places i and j on (of the flattened rows)."""
+    n = np.zeros(len(i), np.int64)
+    for k in range(len(runs) - 1, -1, -1):
+        x = runs[k].ravel()
+        u = x[i + n]
+        n += ((u == x[j + n]) & (u != 0)).astype(np.int64) << k
+    return n
+
+
+def _side(side: tuple[list[np.ndarray], np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words of i, words of j, shared shingles beyond the first run) after 0 to EDITS edits, a column each.
+
+    side: what _outwards tells of the rows, i and j: rows, a pair each. The edit is the first of GAPS after which a whole
+    shingle is equal; where there is none, the columns repeat.
+    """
+    runs, shingle = side
+    i, j, shingle = i * shingle.shape[1], j * shingle.shape[1], shingle.ravel()
+    r = _equal(runs, i, j)
+    px, py, s = r.copy(), r.copy(), np.zeros(len(i), np.int64)
+    out = [(r, r, s.copy())]
     for _ in range(EDITS):
-        open_rows = np.flatnonzero((px < width - WORDS) & (py < width - WORDS))
+        open_rows = np.flatnonzero((px < SIDE - WORDS) & (py < SIDE - WORDS))
         for a, b in GAPS:
             if not len(open_rows):
                 break
-            i, j = px[open_rows, None] + a + np.arange(WORDS), py[open_rows, None] + b + np.arange(WORDS)
-            u = x[open_rows[:, None], np.minimum(i, x.shape[1] - 1)]
-            ok = ((u == y[open_rows[:, None], np.minimum(j, y.shape[1] - 1)]) & (u != 0)).all(1)
+            at, place = i[open_rows] + px[open_rows] + a, j[open_rows] + py[open_rows] + b
+            u = shingle[at]
+            ok = (u == shingle[place]) & (u != 0)
             hit = open_rows[ok]
             if len(hit):
-                i, j = px[hit, None] + a + np.arange(width), py[hit, None] + b + np.arange(width)
-                more = run(x[hit[:, None], np.minimum(i, x.shape[1] - 1)], y[hit[:, None], np.minimum(j, y.shape[1] - 1)])
+                more = _equal(runs, at[ok], place[ok])
                 px[hit] += a + more
                 py[hit] += b + more
                 s[hit] += more - WORDS + 1
-            open_rows = open_rows[~ok]
+                open_rows = open_rows[~ok]
         out.append((px.copy(), py.copy(), s.copy()))
     return tuple(np.stack(c, 1) for c in zip(*out))
 
 
-def spans_of(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(words of x before and after the seed, the same of y) of the longest span around each pair's seed whose Jaccard similarity is at least threshold."""
-    lx, ly, ls = _side(x[:, :SIDE][:, ::-1], y[:, :SIDE][:, ::-1])
-    rx, ry, rs = _side(x[:, SIDE + SEED :], y[:, SIDE + SEED :])
+def spans_of(left, right, i: np.ndarray, j: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words of i before and after the seed, the same of j) of the longest span around each pair's seed whose Jaccard similarity is at least threshold.
+
+    left, right: what _outwards tells of the rows' words before and after the seed.
+    """
+    lx, ly, ls = _side(left, i, j)
+    rx, ry, rs = _side(right, i, j)
     best = [v[:, 0].copy() for v in (lx, rx, ly, ry)]
     for a in range(EDITS + 1):
         for b in range(EDITS + 1):
@@ -226,44 +254,119 @@ def spans_of(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray
     return tuple(best)
 
 
-def sharing(around: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of the same seed that share RUN words in a row around it: each pair of up to FEW rows that share
-    the same words; of more, each row with the first one and with those next to it in the order of what follows and of
-    what goes before, so with those that share the most words."""
+def _grouped(key: np.ndarray, then: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, end, last): places sorted by key, then by then; number k of the order meets numbers end[k] to last[k], all
+    further ones of its key but those with its then."""
+    order = np.lexsort((then, key))
+    key, then = key[order], then[order]
+    new = key[1:] != key[:-1]
+    here = np.arange(len(order))
+    last, end = (np.append(np.flatnonzero(c) + 1, len(order)) for c in (new, new | (then[1:] != then[:-1])))
+    return order, end[np.searchsorted(end, here, "right")], last[np.searchsorted(last, here, "right")]
+
+
+def _met(end: np.ndarray, last: np.ndarray):
+    """(k, m) of each place k with those from end[k] to last[k], PAIRS at a time."""
+    total = np.append(0, np.cumsum(last - end))
+    for lo in range(0, int(total[-1]), PAIRS):
+        at = np.arange(lo, min(lo + PAIRS, int(total[-1])))
+        k = np.searchsorted(total, at, "right") - 1
+        yield k, end[k] + at - total[k]
+
+
+def sharing(sides, words, seed: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """(side, n, group, rows, pairs) for each side and number of words n: the rows that share the n words next to the seed
+    on this side, and RUN words in a row in all, with a row of another document; group is the same for those that share them.
+
+    sides: what _outwards tells of words. pairs: (i, j), some at a time, of these rows that part after n words and share a
+    shingle a few words on, so can cross an edit; a pair may come again. Others share no more than equal words.
+    """
+    total = [np.concatenate([np.zeros((len(seed), 1), np.uint64), np.cumsum(mix64(w.astype(np.uint64)) * _powers(SIDE), axis=1, dtype=np.uint64)], 1) for w in words]
+    key, most = mix64(seed.astype(np.uint64)), max(max(gap) for gap in GAPS)
+    for side in (0, 1):
+        left = np.arange(len(seed))
+        for n in range(SIDE + 1):
+            other = max(0, RUN - SEED - n)
+            rows = left[((n == 0) | (words[side][left, n - 1] != 0)) & ((other == 0) | (words[1 - side][left, other - 1] != 0))]
+            same = mix64(mix64(total[side][rows, n] ^ key[rows]) + total[1 - side][rows, other])
+            order = np.argsort(same, kind="stable")
+            rows, same = rows[order], same[order]
+            first = np.flatnonzero(np.append(True, same[1:] != same[:-1])[: len(rows)])
+            if not len(first):
+                continue  # with more words on this side, fewer are needed on the other
+            # rows of one document only link through those of others, which a group must have
+            size = np.diff(np.append(first, len(rows)))
+            group, ok = (np.repeat(v, size) for v in (rows[first], np.minimum.reduceat(low[rows], first) < np.maximum.reduceat(high[rows], first)))
+            ok &= np.repeat(size > 1, size)
+            rows, group = rows[ok], group[ok]
+            if other == 0:
+                left = rows  # only these can share more words
+            yield side, n, group, rows, _crossing(sides[side][1], words[side], n, group, rows, most) if n < SIDE - WORDS else ()
+
+
+def _crossing(shingle: np.ndarray, words: np.ndarray, n: int, group: np.ndarray, rows: np.ndarray, most: int):
+    """(i, j), some at a time, of the rows of a group whose words differ after n ones and that share a shingle up to most words further on."""
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(rows)])
+    if not len(first):
+        return
+    differ = np.minimum.reduceat(words[rows, n], first) < np.maximum.reduceat(words[rows, n], first)
+    ok = np.repeat(differ, np.diff(np.append(first, len(rows))))
+    rows, group = rows[ok], group[ok]
+    at = np.repeat(n + np.arange(most + 1), len(rows))
+    rows, group = np.tile(rows, most + 1), np.tile(group, most + 1)
+    g = shingle[rows, at]
+    ok = g != 0
+    rows, at, key = rows[ok], at[ok], mix64(g[ok] ^ mix64(group[ok].astype(np.uint64)))
+    order, end, last = _grouped(key, words[rows, n])
+    rows, at = rows[order], at[order]
+    for k, m in _met(end, last):
+        i, j, p, q = rows[k], rows[m], at[k], at[m]
+        # equal a word before too: these come with the shingle there
+        ok = (p == n) | (q == n) | (words[i, p - 1] != words[j, q - 1])
+        yield i[ok], j[ok]
+
+
+def reaching(around: np.ndarray, seed: np.ndarray, block: np.ndarray, cross: np.ndarray, low: np.ndarray, high: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, root, words before, words after) of every row that shares RUN words around its seed with a row of another
+    document: a row of its class, and the most words on each side of its spans with all such rows.
+
+    block, cross: of rows where cross is true, those of one block need no comparison (they have a task of their own).
+    low, high: the first and last document that has the row.
+    """
     n = len(seed)
-    total = np.concatenate([np.zeros((n, 1), np.uint64), np.cumsum(mix64(around.astype(np.uint64)) * _powers(around.shape[1]), axis=1, dtype=np.uint64)], 1)
-    orders = None
-    found = [np.zeros(0, np.int64)]
-    for lo in range(SIDE + SEED - RUN, SIDE + 1):
-        rows = np.flatnonzero((around[:, lo] != 0) & (around[:, lo + RUN - 1] != 0))
-        words = np.zeros(n, np.uint64)
-        words[rows] = mix64((total[rows, lo + RUN] - total[rows, lo]) ^ mix64(seed[rows].astype(np.uint64)))
-        _, group, size = np.unique(words[rows], return_inverse=True, return_counts=True)
-        ok = size[group] > 1
-        rows, group, many = rows[ok], group[ok], (size > FEW)[group[ok]]
-        k = np.argsort(group, kind="stable")
-        few = k[~many[k]]
-        tasks = [(rows[few], group[few], FEW)]
-        if many.any():
-            if orders is None:
-                text = [[x.tobytes() for x in v] for v in (around[:, SIDE:], around[:, SIDE + SEED - 1 :: -1])]
-                orders = [np.argsort(np.array(sorted(range(n), key=v.__getitem__), np.int64)) for v in text]
-            for order in orders:
-                k = np.lexsort((order[rows], group))
-                k = k[many[k]]
-                tasks.append((rows[k], group[k], NEXT))
-            first = np.flatnonzero(np.append(True, group[k][1:] != group[k][:-1]))
-            star = rows[k][first][np.searchsorted(group[k][first], group[k])]
-            found.append(np.minimum(star, rows[k]) * n + np.maximum(star, rows[k]))
-        for r, g, most in tasks:
-            for d in range(1, most + 1):
-                same = np.flatnonzero(g[d:] == g[:-d])
-                if not len(same):
-                    break
-                found.append(np.minimum(r[same], r[same + d]) * n + np.maximum(r[same], r[same + d]))
-    pair = np.unique(np.concatenate(found))
-    i, j = pair // max(n, 1), pair % max(n, 1)
-    return i[i != j], j[i != j]
+    words = [around[:, SIDE - 1 :: -1], around[:, SIDE + SEED :]]
+    sides = [_outwards(w) for w in words]
+    most = np.zeros((2, n), np.int64)
+    ends = np.stack([(w != 0).sum(1) for w in words])
+    links, waiting = [np.zeros(0, np.int64)], []
+
+    def compare():
+        i, j = (np.concatenate(c) for c in zip(*waiting))
+        waiting.clear()
+        i, j = np.minimum(i, j), np.maximum(i, j)
+        li, ri, lj, rj = spans_of(*sides, i, j, threshold)
+        for at, l, r in ((i, li, ri), (j, lj, rj)):
+            np.maximum.at(most[0], at, l)
+            np.maximum.at(most[1], at, r)
+
+    for side, shared, group, rows, pairs in sharing(sides, words, seed, low, high):
+        most[side][rows] = np.maximum(most[side][rows], shared)
+        if side == 0 and shared <= RUN - SEED:
+            links.append(group * n + rows)
+        for i, j in pairs:
+            ok = (low[i] != high[i]) | (low[j] != high[j]) | (low[i] != low[j])  # not of one document only
+            ok &= ~cross[i] | (block[i] != block[j])
+            done = (most == ends).all(0)  # to both ends of what is compared
+            ok &= ~(done[i] & done[j])
+            waiting.append((i[ok], j[ok]))
+            if sum(len(i) for i, _ in waiting) >= PAIRS:
+                compare()
+    if waiting:
+        compare()
+    pair = np.unique(np.concatenate(links))
+    u, v = pair // max(n, 1), pair % max(n, 1)
+    at = np.unique(np.concatenate([u, v]))
+    return at, _roots(n, u, v)[at] if len(at) else at, most[0][at], most[1][at]
 
 
 def find(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
@@ -284,23 +387,12 @@ def find(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> D
         again = np.append(False, np.logical_and.reduce([c[1:] == c[:-1] for c in names]))  # a row of the table that repeats
         table = table.filter(pa.array(~again))
         around = np.frombuffer(b"".join(table["around"].to_pylist()), "<u4").reshape(-1, 2 * SIDE + SEED)
-        digest, low, high = (np.asarray(table[c]) for c in ("digest", "lo", "hi"))
-        new, out = np.zeros(len(digest), np.int64), []
+        digest, low, high, own, bi, bj = (np.asarray(table[c]) for c in ("digest", "lo", "hi", "b", "bi", "bj"))
+        new = np.zeros(len(digest), np.int64)
         for c in (np.asarray(table[c]) for c in ("key", "bi", "bj")):
             new[1:] |= c[1:] != c[:-1]
-        pairs = sharing(around, np.cumsum(new))
-        for k in range(0, len(pairs[0]), 20_000):
-            i, j = (v[k : k + 20_000] for v in pairs)
-            ok = (low[i] != high[i]) | (low[j] != high[j]) | (low[i] != low[j])  # not of one document only
-            i, j = i[ok], j[ok]
-            li, ri, lj, rj = spans_of(around[i], around[j], threshold)
-            at, place = np.unique(np.concatenate([i, j]), return_inverse=True)
-            most = np.zeros((2, len(at)), np.int64)
-            np.maximum.at(most[0], place, np.concatenate([li, lj]))
-            np.maximum.at(most[1], place, np.concatenate([ri, rj]))
-            root = _roots(len(at), place[: len(i)], place[len(i) :])
-            out.append((digest[at], digest[at[root]], most[0], most[1]))
-        u, v, l, r = (np.concatenate(c) for c in zip(*out)) if out else (digest[:0],) * 4
+        at, root, l, r = reaching(around, np.cumsum(new), own, bi != bj, low, high, threshold)
+        u, v = digest[at], digest[root]
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "l": pa.array(l.astype(np.int32)), "r": pa.array(r.astype(np.int32))})
 
     # about a block of rows a task, whatever their bytes

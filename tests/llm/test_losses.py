@@ -26,6 +26,26 @@ def test_passages_of_rows_without_ids(spark):
     assert passage not in left[1] and left[1].startswith(prose(2, 50)) and passage not in left[4] and left[4] == left[5]
 
 
+@pytest.mark.parametrize("block", [substring_dedup.BLOCK, 48])
+def test_passages_that_very_many_share(spark, block):
+    """Of 200 documents with one passage, pairs share 16 words more beyond an edit (of 120, at their begin); of 101 places of another passage, 100 are in one document."""
+    passage, often, texts = prose(10, 34), prose(20, 40), []
+    for k in range(200):
+        texts.append((k, " ".join([prose(1000 + k, 40), passage, prose(2000 + k, 1), prose(3000 + k % 100, 16), prose(4000 + k, 40)])))
+    for k in range(120):
+        texts.append((400 + k, " ".join([often[::-1], prose(8000 + k, 1), prose(8200 + k % 60, 16), prose(8400 + k, 40)])))
+    texts.append((300, " ".join(" ".join([prose(5000 + k, 60), often, prose(6000 + k, 60)]) for k in range(100))))
+    texts.append((301, " ".join([prose(7000, 60), often, prose(7001, 60)])))
+    raw, covered = {i: x.encode() for i, x in texts}, {i: set() for i, _ in texts}
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    for x in substring_dedup.find(df, block=block).collect():
+        before = len(raw[x.doc_id][: x.start].split())
+        covered[x.doc_id].update(range(before, before + x.words))
+    assert all(set(range(40, 40 + 34 + 1 + 16)) <= covered[k] for k in range(200))
+    assert all(set(range(40 + 1 + 16)) <= covered[400 + k] for k in range(120))
+    assert all(set(range(160 * k + 60, 160 * k + 100)) <= covered[300] for k in range(100)) and set(range(60, 100)) <= covered[301]
+
+
 @pytest.mark.parametrize("size", [1e-30, 1.0, 1e20, 1e25, 1e200])
 def test_neighbours_of_vectors_of_any_size(spark, size):
     r = np.random.default_rng(4)
