@@ -30,3 +30,9 @@ NEAR = [(1, "the the th" + "x" * 241 + "tion of"), (2, "the the th" + "x" * 240
 def test_near_terms_one_after_the_other(against_sql):
     documents = (NEAR, "doc_id long, text string")
     assert against_sql("near_terms", documents=documents) == [(1, False), (2, True), (3, True), (4, True), (5, False), (6, False), (7, False), (8, False)]
+
+
+def test_relevance_counts_what_is_near_by_the_same_rule(against_sql):
+    rows = [(k, "x " * 110 + text, "en", f"s{k}", 0) for k, text in NEAR if text is not None] + [(9, None, "en", "s9", 0)]
+    got = against_sql("relevance_rollup", documents=(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    assert [x[-1] for x in got] == [10, 25, 25, 25, 10, 0, 10, 100]  # 15 more where both are near; an unknown text counts as its SQL has it
