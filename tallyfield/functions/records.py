@@ -199,7 +199,8 @@ def lead_agreement(said: Column, rule: Column) -> Column:
 
 
 def final_score(read: Column, model: Column, rules: Column) -> Column:
-    return F.least(F.greatest(F.round(F.coalesce(F.when(read, model).otherwise(rules), F.lit(0))), F.lit(0)), F.lit(100)).cast("int")
+    """The model's score where the text was read, else the rules', from 0 to 100; halves are rounded to the even number."""
+    return F.least(F.greatest(F.bround(F.coalesce(F.when(read, model).otherwise(rules), F.lit(0))), F.lit(0)), F.lit(100)).cast("int")
 
 
 def final_confidence(read: Column, rules: Column, model: Column, stated: Column) -> Column:

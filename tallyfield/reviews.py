@@ -138,10 +138,11 @@ def cycle_stages(spark, d):
 
 @query("WITH z AS (SELECT o_orderkey, (o_totalprice / 5000)::INT AS kw, o_custkey % 101 AS m, o_orderstatus <> 'P' AS read, CASE o_orderpriority WHEN '1-URGENT' THEN 'High' WHEN '2-HIGH' THEN 'medium' ELSE 'odd' END AS c FROM orders) SELECT o_orderkey, least(greatest(CASE WHEN read THEN m ELSE kw END, 0), 100)::INT AS score, CASE WHEN NOT read THEN 'unverified (keyword only)' WHEN (kw < 40 AND m >= 70) OR (kw >= 70 AND m < 40) THEN 'low - signals disagree' WHEN lower(c) IN ('high', 'medium', 'low') THEN lower(c) ELSE 'low' END AS confidence FROM z")
 def verdict_confidence(spark, d):
-    kw, m = F.round(F.col("o_totalprice") / 5000).cast("int"), F.col("o_custkey") % 101
+    kw, m = F.bround(F.col("o_totalprice") / 5000).cast("int"), F.col("o_custkey") % 101
+    both = kw.isNotNull() & m.isNotNull()  # a score that is not known disagrees with none
     said = F.when(F.col("o_orderpriority") == "1-URGENT", "High").when(F.col("o_orderpriority") == "2-HIGH", "medium").otherwise("odd")
     read = F.col("o_orderstatus") != "P"
-    return t(spark, d, "orders").select("o_orderkey", D.final_score(read, m, kw).alias("score"), D.final_confidence(read, kw, m, said).alias("confidence"))
+    return t(spark, d, "orders").select("o_orderkey", D.final_score(read, m, kw).alias("score"), D.final_confidence(read, F.when(both, kw), F.when(both, m), said).alias("confidence"))
 
 
 @query("SELECT o_custkey AS key, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1")

@@ -36,3 +36,9 @@ def test_relevance_counts_what_is_near_by_the_same_rule(against_sql):
     rows = [(k, "x " * 110 + text, "en", f"s{k}", 0) for k, text in NEAR if text is not None] + [(9, None, "en", "s9", 0)]
     got = against_sql("relevance_rollup", documents=(rows, "doc_id long, text string, lang string, source string, n_chars long"))
     assert [x[-1] for x in got] == [10, 25, 25, 25, 10, 0, 10, 100]  # 15 more where both are near; an unknown text counts as its SQL has it
+
+
+def test_halves_of_scores_are_rounded_to_even(against_sql):
+    rows = [(1, 1, "P", 12500.0, "5-LOW"), (2, 1, "P", 17500.0, "5-LOW"), (3, 80, "F", 197500.0, "1-URGENT"), (4, 80, "F", 202500.0, "1-URGENT"), (5, 80, "F", None, "1-URGENT"), (6, None, "F", 450000.0, "2-HIGH"), (7, None, None, None, None)]
+    got = against_sql("verdict_confidence", orders=(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"))
+    assert [x[1:] for x in got] == [(2, "unverified (keyword only)"), (4, "unverified (keyword only)"), (80, "high"), (80, "high"), (80, "high"), (0, "medium"), (0, "low")]
