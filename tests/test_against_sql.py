@@ -42,3 +42,10 @@ def test_halves_of_scores_are_rounded_to_even(against_sql):
     rows = [(1, 1, "P", 12500.0, "5-LOW"), (2, 1, "P", 17500.0, "5-LOW"), (3, 80, "F", 197500.0, "1-URGENT"), (4, 80, "F", 202500.0, "1-URGENT"), (5, 80, "F", None, "1-URGENT"), (6, None, "F", 450000.0, "2-HIGH"), (7, None, None, None, None)]
     got = against_sql("verdict_confidence", orders=(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"))
     assert [x[1:] for x in got] == [(2, "unverified (keyword only)"), (4, "unverified (keyword only)"), (80, "high"), (80, "high"), (80, "high"), (0, "medium"), (0, "low")]
+
+
+def test_entities_end_with_a_semicolon(against_sql):
+    html = '<html><title>{0}</title><body><p>x {0} y</p><a href="/a?b=1&amp;c&copy=2&amp">{0}</a></body></html>'
+    rows = [(k, None, html.format(x)) for k, x in enumerate(("R&amp;D &amp", "A&amp", "&ampx; &copy 2024", "a & b && c &lt b", "&middot;&amp;lt;&quot;"))]
+    got = against_sql("parsed_pages", pages=(rows, "page_id long, url string, html string"))
+    assert [x[1] for x in got] == ["R&D &amp", "A&amp", "&ampx; &copy 2024", "a & b && c &lt b", '·&lt;"']
