@@ -38,22 +38,26 @@ def org_matches(examples: DataFrame, orgs: DataFrame, place: str, generic: tuple
     """example_id, org_id, score, weak: the organisation of the same place whose name shares most words (Jaccard).
 
     examples: example_id, place, org, is_office; orgs: org_id, place, org. Offices score 0.30 more where the candidate's name
-    holds an office word. Below 0.30 there is no match and org_id is null (to be held); below 0.34 it is weak. Pairs are made
-    by shared (place, word) keys; an office also meets the candidates of its place that hold an office word, one best of
+    holds an office word. Below 0.30 there is no match and org_id is null (to be held); below 0.34 it is weak. Examples of one
+    place, name and kind are one node, organisations of one place with equal words another, which stands for its smallest id. Pairs of
+    nodes are made by shared (place, word) keys; an office also meets the candidates of its place that hold an office word, one best of
     these by id, as without a shared word all of them score the same.
     """
-    words = lambda df, i: df.select(i, place, *([] if i == "org_id" else ["is_office"]), T.content_tokens(F.col("org"), generic).alias("words"))
-    left, right = words(examples, "example_id"), words(orgs, "org_id")
+    as_set = F.array_sort(T.content_tokens(F.col("org"), generic)).alias("words")
+    node = [place, "org", "is_office"]
+    asked = examples.select("example_id", place, "org", F.coalesce("is_office", F.lit(False)).alias("is_office"))
+    left = asked.select(*node).distinct().select(*node, as_set).where(F.size("words") > 0)
+    right = orgs.select("org_id", place, as_set).where(F.size("words") > 0).groupBy(place, "words").agg(F.min("org_id").alias("org_id"))
     marked = F.arrays_overlap("words", F.array(*[F.lit(w) for w in office_words]))
-    a = left.select("example_id", place, F.col("is_office"), F.size("words").alias("n"), F.explode("words").alias("word"))
-    b = right.select("org_id", place, marked.alias("marked"), F.size("words").alias("m"), F.explode("words").alias("word"))
-    shared = a.join(b, [place, "word"]).groupBy("example_id", "org_id").agg(F.count("*").alias("k"), F.first("n").alias("n"), F.first("m").alias("m"), F.first(F.col("is_office") & F.col("marked")).alias("bonus"))
+    a = left.select(*node, F.size("words").alias("n"), F.explode("words").alias("word"))
+    b = right.select("org_id", place, F.col("words").alias("named"), marked.alias("marked"), F.size("words").alias("m"), F.explode("words").alias("word"))
+    shared = a.join(b, [place, "word"]).groupBy(*node, "org_id", "named").agg(F.count("*").alias("k"), F.first("n").alias("n"), F.first("m").alias("m"), F.first(F.col("is_office") & F.col("marked")).alias("bonus"))
     bonus = F.when(F.col("bonus"), OFFICE_BONUS).otherwise(0.0)
-    scored = shared.select("example_id", "org_id", (F.col("k") / (F.col("n") + F.col("m") - F.col("k")) + bonus).alias("score"))
+    scored = shared.select(*node, "org_id", (F.col("k") / (F.col("n") + F.col("m") - F.col("k")) + bonus).alias("score"))
     first_office = right.where(marked).groupBy(place).agg(F.min("org_id").alias("org_id"))
-    alone = left.where(F.col("is_office") & (F.size("words") > 0)).join(first_office, place).select("example_id", "org_id", F.lit(OFFICE_BONUS).alias("score"))
-    best = scored.unionByName(alone).groupBy("example_id").agg(F.min(F.struct((-F.round("score", 9)).alias("s"), "org_id")).alias("b"))
-    out = examples.select("example_id").join(best, "example_id", "left")
+    alone = left.where("is_office").join(first_office, place).select(*node, "org_id", F.lit(OFFICE_BONUS).alias("score"))
+    best = scored.unionByName(alone).groupBy(*node).agg(F.min(F.struct((-F.round("score", 9)).alias("s"), "org_id")).alias("b"))
+    out = asked.join(best, node, "left")
     score = F.coalesce(-F.col("b.s"), F.lit(0.0))
     return out.select("example_id", F.when(score >= ORG_LEAST, F.col("b.org_id")).alias("org_id"), score.alias("score"), (score < ORG_WEAK).alias("weak"))
 

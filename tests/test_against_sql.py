@@ -23,6 +23,28 @@ def against_sql(spark, tmp_path):
     return rows
 
 
+def counts_rows_of_joins(spark):
+    """A function that tells how many rows the joins of all executions since now have put out."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+
+    def counted():
+        spark._jsc.sc().listenerBus().waitUntilEmpty()
+        total, runs = 0, store.executionsList(int(before), 1000)
+        for k in range(runs.size()):
+            run = runs.apply(k).executionId()
+            values, nodes = store.executionMetrics(run), store.planGraph(run).allNodes()
+            for n in range(nodes.size()):
+                node = nodes.apply(n)
+                for m in range(node.metrics().size()) if "Join" in node.name() else ():
+                    metric = node.metrics().apply(m)
+                    if metric.name() == "number of output rows" and values.contains(metric.accumulatorId()):
+                        total += int(values.apply(metric.accumulatorId()).replace(",", ""))
+        return total
+
+    return counted
+
+
 #: 'the th' within 'the the th' counts once, at its first place: 251 before what follows in the first text, 250 in the second.
 NEAR = [(1, "the the th" + "x" * 241 + "tion of"), (2, "the the th" + "x" * 240 + "tion of"), (3, "tion of" + "x" * 243 + "the the th"), (4, "tion of" + "é😀\n" * 81 + "the th"), (5, "tion of the"), (6, None), (7, ""), (8, "tion of" + "x" * 244 + "the the th")]
 
@@ -49,3 +71,12 @@ def test_entities_end_with_a_semicolon(against_sql):
     rows = [(k, None, html.format(x)) for k, x in enumerate(("R&amp;D &amp", "A&amp", "&ampx; &copy 2024", "a & b && c &lt b", "&middot;&amp;lt;&quot;"))]
     got = against_sql("parsed_pages", pages=(rows, "page_id long, url string, html string"))
     assert [x[1] for x in got] == ["R&D &amp", "A&amp", "&ampx; &copy 2024", "a & b && c &lt b", '·&lt;"']
+
+
+def test_many_organisations_of_few_names(spark, against_sql):
+    orders = [(k, k % 40, "O", 1.0, "5-LOW") for k in range(4200)]
+    suppliers = [(k, "s", k % 27, 1.0) for k in range(2700)]
+    kinds = {"orders": (orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"), "supplier": (suppliers, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")}
+    counted = counts_rows_of_joins(spark)
+    assert len(against_sql("organisation_matches", **kinds)) == 4200
+    assert counted() < 20_000  # 4200 examples x 100 organisations of a place were joined before
