@@ -41,12 +41,15 @@ def shares_path(leads: DataFrame, refs: DataFrame, block: str, lead_id: str, url
 def catalogue_search(examples: DataFrame, catalogue: DataFrame, id_: str, keywords: str, code: str, label: str, most: int = 6, shortest: int = 3, longest: int = 20) -> DataFrame:
     """For each example, up to `most` catalogue codes (by order of code) whose label has a word that begins with a keyword.
 
-    The words' prefixes are joined with the keywords; keywords of other lengths than shortest to longest find nothing.
+    The words' prefixes are joined with the keywords; keywords of other lengths than shortest to longest find nothing. An example's first
+    codes are among the first of each of its keywords, so only these are joined.
     """
     word = F.explode(F.array_distinct(F.split(T.fold(F.col(label)), " ")))
     words = catalogue.select(F.col(code).alias("code"), word.alias("__w")).where(F.length("__w") >= shortest)
-    prefixes = words.select("code", F.explode(F.transform(F.sequence(F.lit(shortest), F.least(F.length("__w"), F.lit(longest))), lambda n: F.substring("__w", F.lit(1), n))).alias("__k")).distinct()
+    prefixes = words.select("code", F.explode(F.transform(F.sequence(F.lit(shortest), F.least(F.length("__w"), F.lit(longest))), lambda n: F.substring("__w", F.lit(1), n))).alias("__k"))
     asked = examples.select(id_, F.explode(F.array_distinct(F.transform(keywords, T.fold))).alias("__k"))
+    at = F.dense_rank().over(Window.partitionBy("__k").orderBy("code"))  # a code that a prefix finds several times counts once
+    prefixes = prefixes.withColumn("__n", at).where(F.col("__n") <= most).select("code", "__k").distinct()
     return top_n(asked.join(prefixes, "__k").select(id_, "code").distinct(), [id_], ["code"], most)
 
 

@@ -80,3 +80,12 @@ def test_many_organisations_of_few_names(spark, against_sql):
     counted = counts_rows_of_joins(spark)
     assert len(against_sql("organisation_matches", **kinds)) == 4200
     assert counted() < 20_000  # 4200 examples x 100 organisations of a place were joined before
+
+
+def test_keywords_of_very_many_parts(spark, against_sql):
+    part = [(k, ("red bolt", "old bolt red", "bolted", "one redder ground")[k % 4], "b", "t", 1, 1.0) for k in range(3000)]
+    supplier = [(k, "s", 1, 1.0) for k in range(300)]
+    counted = counts_rows_of_joins(spark)
+    got = against_sql("catalogue_hits", part=(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"), supplier=(supplier, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"))
+    assert len(got) == 6 * 300
+    assert counted() < 20_000  # each of 300 suppliers met some 1500 parts by each keyword before
