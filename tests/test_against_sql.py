@@ -89,3 +89,11 @@ def test_keywords_of_very_many_parts(spark, against_sql):
     got = against_sql("catalogue_hits", part=(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"), supplier=(supplier, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"))
     assert len(got) == 6 * 300
     assert counted() < 20_000  # each of 300 suppliers met some 1500 parts by each keyword before
+
+
+def test_very_many_equal_parts(spark, against_sql):
+    part = [(k, ("red bolt", "old bolt", "red ring", "new plate", "bolt")[k % 5], f"b{k % 2}", f"t{k % 3}", k % 4, 1.0) for k in range(1500)]
+    counted = counts_rows_of_joins(spark)
+    got = against_sql("product_matches", part=(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"))
+    assert len(got) == 1500
+    assert counted() < 60_000  # each part met hundreds of its brand before
